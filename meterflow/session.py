@@ -16,8 +16,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # A repeated key in a meter line keeps its last value.
-    "spark.sql.variant.allowDuplicateKeys": "true",
+    # HotSpot compiles no method above 8000 bytes of bytecode: beyond that the split-up
+    # code of the single operators is faster than one interpreted stage.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -71,26 +71,29 @@ def _named(lines: DataFrame) -> DataFrame:
     return lines.select("value", F.col("_metadata.file_name").alias("udr_file_name"))
 
 
-def _text(field: str) -> Column:
-    return F.try_variant_get("_json", f"$.{field}", "string").alias(field)
+# Values whose kind or presence matters stay variants: null when the key is missing.
+LINE = ", ".join([f"{f} variant" for f in REQUIRED] + [f"{f} string" for f in OPTIONAL])
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def _kind(field: str) -> Column:
-    """Type name of a value: null when the key is missing, VOID for a null."""
-    return F.schema_of_variant(F.variant_get("_json", f"$.{field}", "variant")).alias(f"{field}_kind")
+def _as(field: str, kind: str) -> Column:
+    return F.try_variant_get(field, "$", kind)
+
+
+def _is_fraction(field: str) -> Column:
+    return F.schema_of_variant(field).startswith("D")  # DECIMAL or DOUBLE
 
 
 def _whole(field: str) -> Column:
     """A counter as it is stored. A fraction is rounded; text must be a whole number."""
-    fraction = F.col(f"{field}_kind").startswith("D")
-    rounded = F.round(F.col(field).try_cast("decimal(38,6)")).try_cast("bigint")
-    return F.when(fraction, rounded).otherwise(F.col(field).try_cast("bigint"))
+    rounded = F.round(_as(field, "decimal(38,6)")).try_cast("bigint")
+    return F.when(_is_fraction(field), rounded).otherwise(_as(field, "bigint"))
 
 
 def _number(field: str) -> Column:
     """The value where it is a number; text that looks like one is no number."""
-    numeric = F.col(f"{field}_kind").startswith("D") | (F.col(f"{field}_kind") == "BIGINT")
-    return F.when(numeric, F.col(field).try_cast("double"))
+    numeric = (F.schema_of_variant(field) == "BIGINT") | _is_fraction(field)
+    return F.when(numeric, _as(field, "double"))
 
 
 def classify_lines(lines: DataFrame, tz: str, created_by: str) -> DataFrame:
@@ -107,54 +110,50 @@ def classify_lines(lines: DataFrame, tz: str, created_by: str) -> DataFrame:
     the first pair fails, a usage when its capacity is above 1. Barred lines compare
     nothing, they only have to be complete.
     """
-    parsed = lines.withColumn("_json", F.try_parse_json(F.lower("value")))
-    fields = F.struct(
-        F.schema_of_variant("_json").alias("shape"),
-        *[_text(f) for f in (*REQUIRED, *OPTIONAL)],
-        *[_kind(f) for f in REQUIRED],
-    )
-    # One-element explode: a filter on the outcome stays above it, so that each line is
-    # parsed once and not once more inside a pushed-down filter.
-    read = parsed.select("value", "udr_file_name", F.explode(F.array(fields)).alias("_line")).select(
-        "value", "udr_file_name", "_line.*"
+    # As the single element of an array a line with anything after its object is no JSON.
+    array = F.concat(F.lit("["), F.lower("value"), F.lit("]"))
+    parsed = lines.withColumn("_lines", F.from_json(array, f"array<struct<{LINE}>>", STRICT))
+    one = F.when(F.size("_lines") == 1, F.col("_lines"))
+    # The explode keeps a filter on the outcome above the parsing, which so happens once.
+    read = parsed.select("value", "udr_file_name", F.explode_outer(one).alias("_line")).select(
+        "value", "udr_file_name", F.col("_line").isNotNull().alias("is_object"), "_line.*"
     )
+
     status = F.coalesce("terminalstatus", F.lit(""))
-    route = (
-        F.when(status.isin(*USABLE), F.lit("usable"))
-        .when(status.isin(*BARRED), F.lit("barred"))
-        .otherwise(F.lit("none"))
-    )
-    usable = status.isin(*USABLE)
-    clock, millis = F.substring("lastpolledtime", 1, 10), F.substring("lastpolledtime", 11, 3)
-
-    cap, use = _number("overallcapacity"), _number("overallusage")
-    off_cap, off_use = _number("offpeakoverallcapacity"), _number("offpeakoverallusage")
-    no_clock = ~F.coalesce(clock.rlike("^[0-9]+$"), F.lit(False))
-    # a comparison that cannot be made leaves a null
-    any_pair = F.when(cap > 1, use > 1).otherwise(cap > 1)
-    off_pair = F.when(off_cap > 1, off_use > 1).otherwise(off_cap > 1)
-    passes = F.when(any_pair, True).when(~any_pair, off_pair)
-
-    complete = reduce(and_, [F.col(f"{f}_kind").isNotNull() for f in REQUIRED])
-    stored = reduce(and_, [(F.col(f"{f}_kind") == "VOID") | _whole(f).isNotNull() for f in COUNTERS])
+    usable, barred = status.isin(*USABLE), status.isin(*BARRED)
+    polled = _as("lastpolledtime", "string")
+    clock, ms = F.substring(polled, 1, 10), F.substring(polled, 11, 3)
+    seconds = clock.try_cast("bigint")
+    cap, off_cap, use, off_use = (_number(f) for f in list(COUNTERS)[:4])
+
+    complete = reduce(and_, [F.col(f).isNotNull() for f in REQUIRED])
+    stored = reduce(and_, [F.is_variant_null(f) | _whole(f).isNotNull() for f in COUNTERS])
+    keep = F.when(complete & stored, "record").otherwise("bad_field")
+    reject = F.when(F.col("deviceid").isNotNull(), "rejected").otherwise("bad_field")
+
+    def both_above_one(first: Column, second: Column, otherwise: Column) -> Column:
+        """A comparison that cannot be made fails the line."""
+        usage = F.when(second > 1, keep).when(second <= 1, otherwise).otherwise("bad_field")
+        return F.when(first > 1, usage).when(first <= 1, otherwise).otherwise("bad_field")
+
+    # valid JSON of another shape is a line whose fields cannot be read
+    other_json = ~F.ltrim("value").startswith("{") & F.try_parse_json("value").isNotNull()
     outcome = (
-        F.when(F.col("shape").isNull(), "bad_json")
-        .when(~F.col("shape").startswith("OBJECT"), "bad_field")
-        .when(~status.isin(*USABLE, *BARRED), "dropped")
-        .when(no_clock, "bad_field")
-        .when(usable & passes.isNull(), "bad_field")
-        .when(usable & ~passes & F.col("deviceid_kind").isNotNull(), "rejected")
-        .when(usable & ~passes, "bad_field")
-        .when(complete & stored, "record")
-        .otherwise("bad_field")
+        F.when(~F.col("is_object"), F.when(other_json, "bad_field").otherwise("bad_json"))
+        .when(~usable & ~barred, "dropped")
+        .when(seconds.isNull(), "bad_field")
+        .when(barred, keep)
+        .otherwise(both_above_one(cap, use, both_above_one(off_cap, off_use, reject)))
     )
+    route = F.when(usable, "usable").when(barred, "barred").otherwise("none")
     values = {
-        "subscriber_number": F.col("deviceid"),
+        "subscriber_number": _as("deviceid", "string"),
         "clock": clock,
-        "ns": F.when(~usable & (millis == ""), F.lit("0")).otherwise(millis),
-        "end_date": epoch_to_local(clock.try_cast("bigint"), tz),
+        "ns": F.when(barred & (ms == ""), F.lit("0")).otherwise(ms),
+        "end_date": epoch_to_local(seconds, tz),
         **{column: _whole(field) for field, column in COUNTERS.items()},
-        **{column: F.col(field) for field, column in RENAMED.items()},
+        **{column: _as(field, "string") for field, column in RENAMED.items() if field in REQUIRED},
+        **{column: F.col(field) for field, column in RENAMED.items() if field in OPTIONAL},
         "udr_file_name": F.col("udr_file_name"),
         "created_by": F.lit(created_by),
     }
