@@ -15,8 +15,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str) ->
 
 
 def write_csv(df: DataFrame, path: str, sep: str) -> None:
-    # an empty text is quoted, a missing one is not
-    df.write.option("sep", sep).option("header", True).option("emptyValue", '""').csv(path)
+    """Text files with a header. CSV knows no empty text: it reads back as a missing one."""
+    df.write.option("sep", sep).option("header", True).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "append", by: list[str] | None = None) -> None:

@@ -76,7 +76,10 @@ def ingest_files(
 
 def unique_records(records: DataFrame, delay: str = "31 days") -> DataFrame:
     """Streaming form of insert-ignore: a key is passed once within the delay."""
-    return records.withWatermark("end_date", delay).dropDuplicatesWithinWatermark(RECORD_KEYS)
+    # watermarks need a timestamp with a zone
+    timed = records.withColumn("_event_time", F.col("end_date").cast("timestamp"))
+    unique = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(RECORD_KEYS)
+    return unique.drop("_event_time")
 
 
 def usage_from_log(
