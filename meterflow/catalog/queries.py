@@ -279,8 +279,7 @@ def session_cleaned(spark, d):
 
 @query
 def session_track(spark, d):
-    history = b.session_history(spark, d)
-    track = sessions.session_track(sessions.session_cleaned(_stage(spark, d), history), history)
+    track = sessions.session_track(_stage(spark, d), b.session_history(spark, d))
     return track.select(*sessions.STAGE_COLUMNS, "new_ind", "track_ind")
 
 

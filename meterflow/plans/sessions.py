@@ -5,8 +5,8 @@ already, *new* when its (user, start, id) is not, *changed* when its content has
 from the latest version there. New and changed rows get octet deltas and join the history.
 
 Copies are reduced on the map side before every join (``latest_by``, ``distinct``, ``max``),
-so both sides of the history join have one row per key. The anti join on the session id is
-left to adaptive skew handling, which splits its left side.
+so both sides of the history join have one row per key. The anti join on the session id
+comes last and is left to adaptive skew handling, which splits its left side.
 """
 
 from __future__ import annotations
@@ -85,22 +85,31 @@ def session_unchanged(stage: DataFrame, history: DataFrame, latest_only: bool =
     return one.select(*CONTENT, "extract_date")
 
 
-def session_cleaned(stage: DataFrame, history: DataFrame, latest_only: bool = False) -> DataFrame:
-    """The snapshot without the sessions that are unchanged. One unchanged row clears its id."""
+def _unchanged_ids(stage: DataFrame, history: DataFrame, latest_only: bool) -> DataFrame:
     seen = _latest_version(history) if latest_only else history
     # both sides distinct on the same four columns: a small, even semi join
     unchanged = stage.select(*CONTENT).distinct().join(
         seen.select(*CONTENT).distinct(), CONTENT, "left_semi"
     )
-    return stage.join(unchanged.select("acctuniqueid").distinct(), "acctuniqueid", "left_anti").select(
-        *stage.columns
-    )
+    return unchanged.select("acctuniqueid").distinct()
 
 
-def session_track(cleaned: DataFrame, history: DataFrame) -> DataFrame:
-    """One row per session, marked new or changed, with the latest version before it."""
+def session_cleaned(stage: DataFrame, history: DataFrame, latest_only: bool = False) -> DataFrame:
+    """The snapshot without the sessions that are unchanged. One unchanged row clears its id."""
+    unchanged = _unchanged_ids(stage, history, latest_only)
+    return stage.join(unchanged, "acctuniqueid", "left_anti").select(*stage.columns)
+
+
+def session_track(stage: DataFrame, history: DataFrame, latest_only: bool = False) -> DataFrame:
+    """One row per session that is not unchanged, marked new or changed, with its version before.
+
+    Ids are part of the session key, so clearing unchanged ids may as well come last. Then
+    copies are gone before any join, a filter on the marks takes out almost all rows before
+    the anti join, and nothing above that join needs its partitioning, which leaves
+    adaptive execution free to split a hot id.
+    """
     one = latest_by(
-        cleaned, SESSION, F.desc_nulls_last("extract_date"), F.desc_nulls_last("stg_hashdiff")
+        stage, SESSION, F.desc_nulls_last("extract_date"), F.desc_nulls_last("stg_hashdiff")
     )
     before = _latest_version(history).select(
         *SESSION,
@@ -110,13 +119,14 @@ def session_track(cleaned: DataFrame, history: DataFrame) -> DataFrame:
         F.col("acctinputoctets").alias("h_acctinputoctets"),
         F.col("acctoutputoctets").alias("h_acctoutputoctets"),
     )
-    joined = one.join(before, SESSION, "left")
     known = F.col("_known").isNotNull()
     differs = known & (F.col("stg_hashdiff") != F.col("h_hashdiff"))
-    return joined.withColumns({
+    marked = one.join(before, SESSION, "left").withColumns({
         "new_ind": F.when(known, 0).otherwise(1),
         "track_ind": F.when(differs, 1).otherwise(0),
-    }).drop("_known")
+    })
+    unchanged = _unchanged_ids(stage, history, latest_only)
+    return marked.join(unchanged, "acctuniqueid", "left_anti").drop("_known")
 
 
 def plan_users(stage: DataFrame) -> KeyChunks:
@@ -158,7 +168,7 @@ def changes_delta(
     stage: DataFrame, history: DataFrame, latest_only: bool = False, plan: KeyChunks | None = None
 ) -> DataFrame:
     """All new and changed sessions of a snapshot, ready to append to the history."""
-    track = session_track(session_cleaned(stage, history, latest_only), history)
+    track = session_track(stage, history, latest_only)
     return session_delta(track, plan or plan_users(stage))
 
 

@@ -92,14 +92,18 @@ def proc_report(
 
 def disk_parse(lines: DataFrame) -> DataFrame:
     """Columns of disk report lines; headers and broken lines have no percentage and are left out."""
-    parts = F.split(F.trim("line"), r"\s+")
+    # Splitting by a pattern is the costly step. The one-element explode keeps filters on
+    # its results above it, so that it happens once per line.
+    parts = F.explode(F.array(F.split(F.trim("line"), r"\s+"))).alias("_parts")
     cols = {
-        name: F.get(parts, F.lit(i))
+        name: F.get("_parts", F.lit(i))
         for i, name in enumerate(("device", "size", "used", "available", "use", "mount"))
     }
-    pct = F.expr("try_cast(regexp_replace(use, '%$', '') AS int)")
-    parsed = lines.withColumns(cols).withColumn("used_pct", pct)
-    return parsed.where(F.col("used_pct").isNotNull() & F.col("mount").isNotNull()).drop("line", "use")
+    pct = F.rtrim("use", F.lit("%")).try_cast("int").alias("used_pct")
+    names = [c for c in lines.columns if c != "line"]
+    parsed = lines.select("*", parts).withColumns(cols).withColumn("used_pct", pct)
+    known = F.col("used_pct").isNotNull() & F.col("mount").isNotNull()
+    return parsed.where(known).select(*names, "device", "size", "used", "available", "mount", "used_pct")
 
 
 def disk_breaches(parsed: DataFrame, rules: DataFrame) -> DataFrame:
