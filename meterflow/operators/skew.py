@@ -6,10 +6,10 @@ the right plan while every subscriber fits a task. ``plan_chunks`` counts rows p
 alone are cut into consecutive chunks of their order; a chunk's first row takes its
 predecessor from the last row of the chunk before. Results are the same either way.
 
-What the driver and the broadcasts hold is bounded: at most ``max_keys`` heavy keys
-(default: the number of shuffle partitions P) with at most ``MAX_CHUNKS`` cut points each.
-Any key beyond the P most frequent holds less than 1/P of the rows, which is an ordinary
-partition, so leaving it whole is safe.
+What the driver and the broadcasts hold is bounded by the number of shuffle partitions P:
+at most P heavy keys, and, as no chunk is planned smaller than 1/P of all rows, at most 2 P
+chunks in all. Any key beyond the P most frequent holds less than 1/P of the rows, which is
+an ordinary partition, so leaving it whole is safe.
 """
 
 from __future__ import annotations
@@ -17,15 +17,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from meterflow.session import small_table
 
 CHUNK = "_chunk"
 HEAVY_ROWS = 1_000_000
-MAX_CHUNKS = 256
 SAMPLES_PER_CHUNK = 20
+BLOCK = 64
 
 
 def _position(order: tuple[str, ...]) -> Column:
@@ -53,27 +53,37 @@ class KeyChunks:
     def window_keys(self) -> tuple[str, ...]:
         return self.keys if self.cuts is None else (*self.keys, CHUNK)
 
-    def _side(self) -> DataFrame:
+    def _side(self, *columns: str | Column) -> DataFrame:
         renamed = [F.col(k).alias(f"_{k}") for k in self.keys]
-        return F.broadcast(self.cuts.select(*renamed, "_cuts"))
+        return F.broadcast(self.cuts.select(*renamed, *columns))
 
     def assign(self, df: DataFrame) -> DataFrame:
         """Add the chunk number; rows of ordinary keys are all in chunk 0."""
         if self.cuts is None:
             return df
-        side = self._side()
+        # cut points in blocks: a row is compared with the first of each, then within one
+        blocks = F.expr(
+            f"transform(sequence(0, cast((size(_cuts) - 1) div {BLOCK} AS int)),"
+            f" b -> slice(_cuts, b * {BLOCK} + 1, {BLOCK}))"
+        )
+        side = self._side(blocks.alias("_blocks"), F.transform(blocks, lambda b: b[0]).alias("_heads"))
         place = _position(self.order)
-        chunk = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
-            F.size(F.filter("_cuts", lambda cut: cut <= place))
+
+        def passed(cuts: Column | str) -> Column:
+            return F.size(F.filter(cuts, lambda cut: cut <= place))
+
+        block = passed("_heads") - 1
+        chunk = F.when(F.col("_heads").isNull() | (block < 0), F.lit(0)).otherwise(
+            block * BLOCK + passed(F.get("_blocks", block))
         )
         joined = df.join(side, _match(df, side, self.keys), "left")
-        return joined.withColumn(CHUNK, chunk).drop("_cuts", *[f"_{k}" for k in self.keys])
+        return joined.withColumn(CHUNK, chunk).drop("_blocks", "_heads", *[f"_{k}" for k in self.keys])
 
     def spread(self, df: DataFrame) -> DataFrame:
         """Copy one-row-per-key data to every chunk of its key, for a co-located join."""
         if self.cuts is None:
             return df
-        side = self._side()
+        side = self._side("_cuts")
         chunks = F.sequence(F.lit(0), F.coalesce(F.size("_cuts"), F.lit(0)))
         chunks = F.when(F.col("_cuts").isNull(), F.array(F.lit(0))).otherwise(chunks)
         joined = df.join(side, _match(df, side, self.keys), "left")
@@ -103,20 +113,27 @@ def plan_chunks(
     keys, order = tuple(keys), tuple(order)
     if max_keys is None:
         max_keys = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = Observation()
     top = (
-        df.groupBy(*keys)
+        df.select(*keys)
+        .observe(total, F.count(F.lit(1)).alias("rows"))
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > heavy_rows)
         .orderBy(F.desc("_rows"))
         .limit(max_keys)
     )
     heavy = top.collect()
+    if not heavy:
+        return KeyChunks(keys, order)
+    chunk_rows = max(heavy_rows, total.get["rows"] // max_keys)
+    heavy = [r.asDict() for r in heavy if r["_rows"] > chunk_rows]
     if not heavy:
         return KeyChunks(keys, order)
 
-    counts = small_table(spark, [r.asDict(True) for r in heavy], top.schema)
+    counts = small_table(spark, heavy, top.schema)
     side = F.broadcast(counts.withColumnsRenamed({k: f"_{k}" for k in keys}))
-    chunks = F.least(F.ceil(F.col("_rows") / heavy_rows), F.lit(MAX_CHUNKS)).cast("int")
+    chunks = F.ceil(F.col("_rows") / chunk_rows).cast("int")
     sample = (
         df.join(side, _match(df, side, keys))
         .withColumn("_n", chunks)
@@ -157,7 +174,7 @@ def lag_by_key(
         .groupBy(*parts)
         .agg(F.max_by(row, _position(plan.order)).alias("_last"))
     )
-    # one row per chunk: at most max_keys * (MAX_CHUNKS + 1) rows in all
+    # one row per chunk, few in all
     by_key = Window.partitionBy(*plan.keys, *within).orderBy(CHUNK)
     carry = last.select(
         *[F.col(k).alias(f"_{k}") for k in parts],

@@ -126,7 +126,7 @@ def test_heavy_user_is_cut_without_changing_results(spark):
     history = history_of(spark, rows[:200]).withColumns({
         "acctinputoctets": F.lit(-1).cast("bigint"), "hashdiff": F.lit("another")
     })
-    plan = plan_chunks(stage, ["username"], ["acctstarttime", "extract_date", "acctuniqueid"], heavy_rows=100)
+    plan = plan_chunks(stage, ["username"], ["acctstarttime", "extract_date", "acctuniqueid"], heavy_rows=100, max_keys=20)
     assert plan.cuts is not None
     cut = sessions.changes_delta(stage, history, plan=plan)
     plain = sessions.changes_delta(stage, history)

@@ -95,7 +95,7 @@ def test_heavy_subscriber_is_cut_without_changing_results(spark):
     batch = log_of(spark, rows)
     state = state_of(spark, [poll(99_999, "hot", -1, 1, 1, 950_000), poll(99_998, "s3", -1, 1, 1, 9500)])
     plain = usage.usage_increments(batch, state)
-    plan = plan_chunks(batch, ["subscriber_number"], ["end_date", "id"], heavy_rows=300)
+    plan = plan_chunks(batch, ["subscriber_number"], ["end_date", "id"], heavy_rows=300, max_keys=100)
     cuts = {r.subscriber_number: len(r._cuts) for r in plan.cuts.collect()}
     assert set(cuts) == {"hot", None} and cuts["hot"] >= 5
     cut = usage.usage_increments(batch, state, plan=plan)
@@ -104,10 +104,25 @@ def test_heavy_subscriber_is_cut_without_changing_results(spark):
     assert max(sizes) < 1500
 
 
+def test_many_cuts_are_searched_in_blocks(spark):
+    df = spark.range(5000).selectExpr("id", "'hot' AS k", "id % 1000 AS t")
+    plan = plan_chunks(df, ["k"], ["t", "id"], heavy_rows=20, max_keys=1000)
+    assert len(plan.cuts.first()._cuts) > 150
+    got = [r.prev for r in lag_by_key(df, plan, {"prev": "id"}).orderBy("t", "id").collect()]
+    ordered = [r.id for r in df.orderBy("t", "id").collect()]
+    assert got == [None, *ordered[:-1]]
+    assert plan.assign(df).groupBy("_chunk").count().agg(F.max("count")).first()[0] < 200
+
+
+def test_keys_of_ordinary_size_stay_whole(spark):
+    df = spark.range(4000).selectExpr("id", "id % 4 AS k")
+    assert plan_chunks(df, ["k"], ["id"], heavy_rows=100, max_keys=4).cuts is None
+
+
 def test_heavy_key_with_one_time_and_missing_times(spark):
     rows = [poll(i, "hot", 5, i, i, i) | ({"end_date": None} if i % 3 == 0 else {}) for i in range(2000)]
     df = log_of(spark, rows).select("id", "subscriber_number", "end_date", "clock")
-    plan = plan_chunks(df, ["subscriber_number"], ["end_date", "id"], heavy_rows=200)
+    plan = plan_chunks(df, ["subscriber_number"], ["end_date", "id"], heavy_rows=200, max_keys=20)
     assert plan.cuts is not None
     whole = plan_chunks(df, ["subscriber_number"], ["end_date", "id"])
     assert whole.cuts is None
