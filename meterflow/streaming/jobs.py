@@ -113,10 +113,8 @@ def usage_from_log(
                 store.publish(batch, append={"increments": increments, "state": readings})
             else:
                 newest = usable.agg(F.max("end_date")).scalar()
-                full = next_state(state, usable, now)
-                full = full.where(
-                    newest.isNull() | (F.col("end_date") > newest - F.make_dt_interval(F.lit(retain_days)))
-                )
+                last = F.coalesce(newest, ntz("1900-01-01 00:00:00"))
+                full = retain(next_state(state, usable, now), last, retain_days)
                 store.publish(batch, append={"increments": increments}, replace={"state": full})
         finally:
             usable.unpersist()
