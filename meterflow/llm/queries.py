@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterflow.llm.bytebpe import op10_byte_bpe
+from meterflow.llm.hilbert import op9_hilbert
 from meterflow.llm.minhash import op3_minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash": op3_minhash,
+    "op9_hilbert": op9_hilbert,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
