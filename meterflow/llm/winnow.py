@@ -50,7 +50,8 @@ def fingerprinted(docs: DataFrame, gram_words: int, sure_words: int) -> DataFram
     runs = _with_runs(_with_version(texts.where("id IS NOT NULL AND text RLIKE '[^ \\\\t\\\\n]'")), gram_words)
     grams = runs.withColumn("long", _run_lengths(sure_words)).withColumn("hashes", F.transform("_lines", lambda p: F.xxhash64(p)))
     # the places with a gram are the first ones
-    grams = grams.withColumn("grams", F.expr("transform(filter(sequence(1, size(short)), i -> short[i - 1] > 0), i -> xxhash64(slice(hashes, i, short[i - 1])))"))
+    # (an array that a lambda reads must be named twice, or the optimizer moves its making into the lambda)
+    grams = grams.withColumn("grams", F.expr("transform(filter(sequence(1, size(hashes)), i -> short[i - 1] > 0), i -> xxhash64(slice(hashes, i, short[i - 1])))"))
     sorted_ = "if(size(array_distinct(grams)) < size(grams), array_sort(transform(grams, (g, i) -> named_struct('hash', g, 'at', i + 1))), NULL)"
     grams = grams.where("size(grams) > 0").withColumn("sorted", F.expr(sorted_))
     return grams.select("id", F.col("_version").alias("version"), "grams", F.expr(_PRINTS).alias("prints"), F.expr(_AGAIN).alias("again"))
@@ -107,7 +108,7 @@ def without_repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_w
     # grams only where some go
     cut = joined.withColumn("_pieces", F.split(F.col("text").cast("string"), CUT, -1))
     own = _with_runs(joined.where("_places IS NOT NULL"), gram_words)
-    own = own.withColumn("removed", F.expr("array_sort(array_distinct(flatten(transform(_places, i -> sequence(i - 1, i + short[i - 1] - 2)))))"))
+    own = own.withColumn("removed", F.expr("array_sort(array_distinct(flatten(transform(filter(_places, i -> i <= size(short)), i -> sequence(i - 1, i + short[i - 1] - 2)))))"))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(_pieces) - 1), removed), i -> _pieces[i]), '')")
     own = own.select(*names, kept.alias("text"), F.size("_pieces").cast("bigint").alias("n_lines"), "removed")
     rest = cut.where("_places IS NULL").select(
