@@ -53,16 +53,17 @@ def fingerprinted(docs: DataFrame, gram_words: int, sure_words: int) -> DataFram
     # (an array that a lambda reads must be named twice, or the optimizer moves its making into the lambda)
     grams = grams.withColumn("grams", F.expr("transform(filter(sequence(1, size(hashes)), i -> short[i - 1] > 0), i -> xxhash64(slice(hashes, i, short[i - 1])))"))
     sorted_ = "if(size(array_distinct(grams)) < size(grams), array_sort(transform(grams, (g, i) -> named_struct('hash', g, 'at', i + 1))), NULL)"
-    grams = grams.where("size(grams) > 0").withColumn("sorted", F.expr(sorted_))
+    # (no filter on any of these arrays: it would be pushed below and make them again in its own lambdas)
+    grams = grams.withColumn("sorted", F.expr(sorted_))
     return grams.select("id", F.col("_version").alias("version"), "grams", F.expr(_PRINTS).alias("prints"), F.expr(_AGAIN).alias("again"))
 
 
 # For each place with a sure run the smallest gram inside it; all grams of a shorter document are one choice.
 _PRINTS = """
-if(long[0] = 0, array(cast(array_position(grams, array_min(grams)) AS int)), array_distinct(transform(
+if(size(grams) = 0, cast(array() AS array<int>), if(long[0] = 0, array(cast(array_position(grams, array_min(grams)) AS int)), array_distinct(transform(
     filter(sequence(1, size(grams)), i -> long[i - 1] > 0),
     i -> array_min(transform(filter(sequence(i, i + long[i - 1] - 1), j -> j <= size(grams) AND j + short[j - 1] <= i + long[i - 1]),
-                             j -> named_struct('hash', grams[j - 1], 'at', j))).at)))
+                             j -> named_struct('hash', grams[j - 1], 'at', j))).at))))
 """
 
 _AGAIN = """
