@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterflow.llm.bytebpe import op10_byte_bpe
+from meterflow.llm.decontaminate import op4_decontaminate
 from meterflow.llm.hilbert import op9_hilbert
 from meterflow.llm.minhash import op3_minhash
 from meterflow.llm.permindex import op8_permutation_index
+from meterflow.llm.toxicity import op7_toxicity
 from meterflow.llm.url_lists import OP5_SQL, op5_url_lists
 from meterflow.llm.warc import OP6_SQL, op6_warc
 from meterflow.llm.winnow import op2_line_dedup
@@ -17,14 +19,17 @@ from meterflow.llm.winnow import op2_line_dedup
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash": op3_minhash,
+    "op4_decontaminate": op4_decontaminate,
     "op5_url_lists": op5_url_lists,
     "op6_warc": op6_warc,
+    "op7_toxicity": op7_toxicity,
     "op8_permutation_index": op8_permutation_index,
     "op9_hilbert": op9_hilbert,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_decontaminate": op4_decontaminate,
     "op5_url_lists": OP5_SQL,
     "op6_warc": OP6_SQL,
 }
