@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from meterflow.llm.bytebpe import op10_byte_bpe
 from meterflow.llm.decontaminate import op4_decontaminate
 from meterflow.llm.hilbert import op9_hilbert
+from meterflow.llm.importance import op1_importance
 from meterflow.llm.minhash import op3_minhash
 from meterflow.llm.permindex import op8_permutation_index
 from meterflow.llm.toxicity import op7_toxicity
@@ -17,6 +18,7 @@ from meterflow.llm.warc import OP6_SQL, op6_warc
 from meterflow.llm.winnow import op2_line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_importance": op1_importance,
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash": op3_minhash,
     "op4_decontaminate": op4_decontaminate,
