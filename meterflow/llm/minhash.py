@@ -146,15 +146,22 @@ def sets_of(docs: DataFrame, n: int) -> DataFrame:
 def _star_pairs(members: DataFrame, centers: int) -> DataFrame:
     """(bucket, center, center_size, center_component): the first ``centers`` members of each bucket."""
     first = Window.partitionBy("bucket").orderBy("linked", "rep")
-    ranked = members.select("bucket", "rep", "size", "component", "linked", F.row_number().over(first).alias("place"))
+    ranked = members.select("bucket", "rep", "size", "component", "linked", "counts", F.row_number().over(first).alias("place"))
     return ranked.where(F.col("place") <= centers).select(
         "bucket",
         F.col("rep").alias("center"),
         F.col("size").alias("center_size"),
         F.col("component").alias("center_component"),
+        F.col("counts").alias("center_counts"),
     )
 
 
+def _may_link(own: str, other: str, sizes: str, percent: int) -> str:
+    """Whether two sets can be that similar: they share no more hashes than the smaller count of each bin. True if counts are missing."""
+    most = f"aggregate(zip_with({own}, {other}, (x, y) -> least(x, y)), 0, (a, x) -> a + x)"
+    return f"coalesce({100 + percent} * {most} >= {percent} * ({sizes}), true)"
+
+
 def links(docs: DataFrame, sketched: DataFrame, reps: DataFrame, n: int, percent: int) -> DataFrame:
     """Confirmed (a, b) links between representatives that join all who are linked, though not every link inside a component."""
     spark = docs.sparkSession
@@ -163,7 +170,9 @@ def links(docs: DataFrame, sketched: DataFrame, reps: DataFrame, n: int, percent
     banded = sketched.join(chosen, ["doc_id", "set_key"], "left_semi").dropDuplicates(["doc_id", "set_key"])
     members = banded.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("size"))
     shared = members.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("bucket")
-    members = stored(members.join(shared, "bucket"), "buckets").select("*", F.col("rep").alias("component"), F.lit(False).alias("linked"))
+    members = stored(members.join(shared, "bucket"), "buckets").select(
+        "*", F.col("rep").alias("component"), F.lit(False).alias("linked"), F.lit(None).cast("array<tinyint>").alias("counts")
+    )
     wanted = chosen.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     sets = stored(sets_of(texts.join(wanted, "doc_id").dropDuplicates(["doc_id", "text"]), n), "sets")
@@ -176,19 +185,18 @@ def links(docs: DataFrame, sketched: DataFrame, reps: DataFrame, n: int, percent
             members.join(stars, "bucket")
             .where("component <> center_component")
             .where(f"100 * least(size, center_size) >= {percent} * greatest(size, center_size)")
+            .where(_may_link("counts", "center_counts", "size + center_size", percent))
             .select(F.least("rep", "center").alias("center"), F.greatest("rep", "center").alias("rep"), (F.col("size") + F.col("center_size")).alias("sizes"))
             .distinct()
         )
         pairs = stored(pairs.join(tested, ["rep", "center"], "left_anti"), "pairs")
         tested = tested.union(pairs.select("rep", "center"))
         counted = sets.select("doc_id", "counts")
-        likely = (
-            pairs.join(counted.select(F.col("doc_id").alias("rep"), F.col("counts").alias("own")), "rep")
-            .join(counted.select(F.col("doc_id").alias("center"), F.col("counts").alias("other")), "center")
-            .withColumn("most", F.expr("aggregate(zip_with(own, other, (x, y) -> least(x, y)), 0, (a, x) -> a + x)"))
-            .where(f"most IS NULL OR 100 * most >= {percent} * (sizes - most)")
-        )
-        pairs = stored(likely.select("rep", "center", "sizes"), "likely")
+        if centers == 1:
+            likely = pairs.join(counted.select(F.col("doc_id").alias("rep"), F.col("counts").alias("own")), "rep").join(
+                counted.select(F.col("doc_id").alias("center"), F.col("counts").alias("other")), "center"
+            )
+            pairs = stored(likely.where(_may_link("own", "other", "sizes", percent)).select("rep", "center", "sizes"), "likely")
         met = sets.join(pairs.select(F.col("center").alias("doc_id")).distinct(), "doc_id", "left_semi")
         both = (
             pairs.join(sets.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("own")), "rep")
@@ -208,7 +216,10 @@ def links(docs: DataFrame, sketched: DataFrame, reps: DataFrame, n: int, percent
         gone = stars.select("bucket", F.col("center").alias("rep"))
         members = members.join(gone, ["bucket", "rep"], "left_anti")
         open_ = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        members = stored(members.join(open_.select("bucket"), "bucket", "left_semi"), "buckets")
+        members = members.join(open_.select("bucket"), "bucket", "left_semi")
+        if centers == 1:  # from now on the join within buckets refutes pairs by their counts
+            members = members.drop("counts").join(counted.withColumnRenamed("doc_id", "rep"), "rep")
+        members = stored(members, "buckets")
         if members.isEmpty():
             return confirmed
         centers *= MORE_CENTERS
