@@ -111,7 +111,9 @@ def without_repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_w
     own = _with_runs(joined.where("_places IS NOT NULL"), gram_words)
     own = own.withColumn("removed", F.expr("array_sort(array_distinct(flatten(transform(filter(_places, i -> i <= size(short)), i -> sequence(i - 1, i + short[i - 1] - 2)))))"))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(_pieces) - 1), removed), i -> _pieces[i]), '')")
-    own = own.select(*names, kept.alias("text"), F.size("_pieces").cast("bigint").alias("n_lines"), "removed")
+    # (out of an array of one: a filter on these columns then stays above their making)
+    made = F.struct(kept.alias("text"), F.size("_pieces").cast("bigint").alias("n_lines"), "removed")
+    own = own.select(*names, F.explode(F.array(made)).alias("_made")).select(*names, "_made.*")
     rest = cut.where("_places IS NULL").select(
         *names,
         F.col("text").cast("string").alias("text"),
