@@ -59,7 +59,9 @@ def usage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return counters.selectExpr(
         "event_id AS id",
-        "CASE WHEN event_id % 107 <> 0 THEN cast(user_id AS string) END AS subscriber_number",
+        # a fifth of the users has another number from the cut on: subscribers without earlier readings
+        "CASE WHEN event_id % 107 <> 0 THEN cast(user_id + CASE WHEN user_id % 5 = 0 AND ts >="
+        f" {_ntz(CUT)} THEN 1000000000 ELSE 0 END AS string) END AS subscriber_number",
         "ts AS end_date",
         "clock",
         "CASE WHEN event_type IN ('view', 'purchase') THEN 'normal' WHEN event_type = 'click' THEN 'minor'"
@@ -74,10 +76,9 @@ def usage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def usage_state(spark: SparkSession, sf_dir: str, until: str = CUT) -> DataFrame:
-    """Readings before the batch. A fifth of the subscribers has none, so that some start fresh."""
+    """Usable readings before the batch."""
     log = usage_log(spark, sf_dir).where(
         f"end_date < {_ntz(until)} AND terminal_status IN ('normal', 'minor')"
-        " AND cast(subscriber_number AS bigint) % 5 <> 0"
     )
     return log.selectExpr("*", f"{_ntz(LOAD_TIME)} AS load_time").select(*COUNTER_STATE.names)
 

@@ -14,6 +14,7 @@ from meterflow.operators import changes, rollup
 from meterflow.plans import sessions, telemetry, usage
 from meterflow.schemas import (
     COUNTER_STATE,
+    FILE_STATUS,
     METER_RECORD,
     PROCESS_SNAPSHOT,
     SESSION_ANALYSIS_COLUMNS,
@@ -213,7 +214,7 @@ def udr_accept(spark, d):
 
 @query
 def udr_file_select(spark, d):
-    return meter_files.select_files(b.file_listing(spark, d))
+    return meter_files.select_files(b.file_listing(spark, d), cap=35)
 
 
 @query
@@ -379,18 +380,34 @@ def csv_roundtrip(spark, d):
 # --- streams -----------------------------------------------------------------------------
 
 
-@query
-def udr_stream_ingest(spark, d):
-    """The meter lines, written out as files, through the ingest stream."""
+def _meter_folder(lines, folder: str) -> None:
+    """The lines as one meter file per name."""
+    lines.repartition("udr_file_name").write.partitionBy("udr_file_name").text(f"{folder}/parts")
+    path = lines.sparkSession._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(lines.sparkSession._jsc.hadoopConfiguration())
+    fs.mkdirs(path(f"{folder}/in"))
+    for found in fs.globStatus(path(f"{folder}/parts/udr_file_name=*/part-*")):
+        name = found.getPath().getParent().getName().partition("=")[2]
+        fs.rename(found.getPath(), path(f"{folder}/in/{name}"))
+
+
+def _ingested(spark, d) -> tables.VersionedTables:
+    """The meter lines, written out as one file per hour, through the ingest stream."""
     folder = scratch_dir(spark, "ingest")
-    lines = b.meter_lines(spark, d).select("value").where(F.col("value").isNotNull())
-    lines.write.text(f"{folder}/in")
-    run = jobs.ingest_files(
-        spark, f"{folder}/in", f"{folder}/tables", f"{folder}/checkpoint", b.TZ, "meter", glob="*.txt"
-    )
+    _meter_folder(b.meter_lines(spark, d).where(F.col("value").isNotNull()), folder)
+    run = jobs.ingest_files(spark, f"{folder}/in", f"{folder}/tables", f"{folder}/checkpoint", b.TZ, "meter")
     run.awaitTermination()
-    records = tables.VersionedTables(spark, f"{folder}/tables").read("records", METER_RECORD)
-    return records.drop("udr_file_name")
+    return tables.VersionedTables(spark, f"{folder}/tables")
+
+
+@query
+def udr_stream_ingest(spark, d):
+    return _ingested(spark, d).read("records", METER_RECORD)
+
+
+@query
+def udr_stream_status(spark, d):
+    return _ingested(spark, d).read("files", FILE_STATUS)
 
 
 @query
@@ -399,26 +416,36 @@ def usage_stream(spark, d):
     folder = scratch_dir(spark, "usage")
     store = tables.VersionedTables(spark, f"{folder}/tables")
     batch = b.usage_batch(spark, d).select(*usage.READ_COLUMNS)
-    ends = ["2024-01-16 00:00:00", "2024-01-20 00:00:00", "2024-01-24 00:00:00", "2024-01-28 00:00:00",
-            "2024-02-01 00:00:00"]
-    for start, end in zip(ends, ends[1:]):
-        part = batch.where((F.col("end_date") >= ntz(start)) & (F.col("end_date") < ntz(end)))
+    cuts = [None, ntz("2024-01-20 00:00:00"), ntz("2024-01-24 00:00:00"), ntz("2024-01-28 00:00:00"), None]
+    for start, end in zip(cuts, cuts[1:]):
+        part = batch if start is None else batch.where(F.col("end_date") >= start)
+        part = part if end is None else part.where(F.col("end_date") < end)
         tables.write_parquet(part, f"{folder}/in")
         jobs.usage_from_log(
-            spark, f"{folder}/in", batch.schema, f"{folder}/tables", f"{folder}/checkpoint", compact_every=2
+            spark, f"{folder}/in", batch.schema, f"{folder}/tables", f"{folder}/checkpoint", b.AS_OF, compact_every=2
         ).awaitTermination()
     return store.read("increments", USAGE_RESULT)
 
 
-@query
-def session_stream(spark, d):
-    """Two snapshots through the session stream; the second one comes against the first's history."""
+def _session_stream(spark, d, together: bool):
     folder = scratch_dir(spark, "sessions")
     store = tables.VersionedTables(spark, f"{folder}/tables")
     for snapshot in (b.first_snapshot(spark, d), b.session_snapshot(spark, d)):
         tables.write_parquet(snapshot.select(*SESSION_STAGE.names), f"{folder}/in")
-        jobs.sessions_from_snapshots(
-            spark, f"{folder}/in", f"{folder}/tables", f"{folder}/checkpoint"
-        ).awaitTermination()
-    history = store.read("history", SESSION_HISTORY)
-    return history.select(*SESSION_ANALYSIS_COLUMNS)
+        if not together:
+            jobs.sessions_from_snapshots(spark, f"{folder}/in", f"{folder}/tables", f"{folder}/checkpoint").awaitTermination()
+    if together:
+        jobs.sessions_from_snapshots(spark, f"{folder}/in", f"{folder}/tables", f"{folder}/checkpoint").awaitTermination()
+    return store.read("history", SESSION_HISTORY).select(*SESSION_ANALYSIS_COLUMNS)
+
+
+@query
+def session_stream(spark, d):
+    """Two snapshots through the session stream; the second one comes against the first's history."""
+    return _session_stream(spark, d, together=False)
+
+
+@query
+def session_stream_backlog(spark, d):
+    """The same snapshots found by one run: each is an interval of its own all the same."""
+    return _session_stream(spark, d, together=True)

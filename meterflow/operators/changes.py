@@ -20,7 +20,8 @@ def insertable(target: DataFrame, rows: DataFrame, keys: list[str], tie_break: l
     """The rows that an insert ignoring conflicts would add: what an appending sink writes."""
     with_key = rows.where(~_keyless(keys))
     first = latest_by(with_key, keys, *[F.asc_nulls_last(c) for c in tie_break])
-    taken = target.select(*keys)
+    # the keys of the rows reduce the target first: where they are few, they are sent to it and it stays in place
+    taken = target.select(*keys).join(with_key.select(*keys).distinct(), keys, "left_semi")
     return first.join(taken, keys, "left_anti").select(*rows.columns).unionByName(
         rows.where(_keyless(keys))
     )
@@ -62,14 +63,10 @@ def upsert(
 ) -> DataFrame:
     """Insert rows or replace those of the same key; of several the highest tie-break wins."""
     incoming = rows.withColumn(stamp, ntz(str(as_of))).select(*target.columns)
-    both = target.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))
-    keyed = latest_by(
-        both.where(~_keyless(keys)),
-        keys,
-        F.desc("_new"),
-        *[F.desc_nulls_last(c) for c in tie_break],
-    )
-    return keyed.unionByName(both.where(_keyless(keys))).select(*target.columns)
+    one = latest_by(incoming.where(~_keyless(keys)), keys, *[F.desc_nulls_last(c) for c in tie_break])
+    # a missing key part never matches, so such rows of the target stay
+    untouched = target.join(one.select(*keys), keys, "left_anti").select(*target.columns)
+    return untouched.unionByName(one.select(*target.columns)).unionByName(incoming.where(_keyless(keys)))
 
 
 def flag_reset(log: DataFrame, since: Column, statuses: tuple[str, ...]) -> DataFrame:

@@ -137,24 +137,20 @@ def plan_users(stage: DataFrame) -> KeyChunks:
 def session_delta(track: DataFrame, plan: KeyChunks) -> DataFrame:
     """New and changed sessions as history rows, with the column ``new_ind``.
 
-    A new session looks back at the user's session before it; a changed one at its own
-    latest version. Both kinds share one pass.
+    A new session looks back at the user's session before it and has no octets before its own; a
+    changed one looks at its own latest version. Both kinds share one pass.
     """
     rows = track.where((F.col("new_ind") == 1) | (F.col("track_ind") == 1))
     within = ("new_ind",)
     by_user = {"_start": "acctstarttime", "_stop": "adj_acctstoptime"}
     rows = lag_by_key(rows, plan, by_user, within)
-    # one row per session is left here, so these groups are single rows in practice
-    per_session = KeyChunks(("username", "adj_acctuniqueid"), ("extract_date", "acctuniqueid"))
-    octets = {"_in": "acctinputoctets", "_out": "acctoutputoctets"}
-    rows = lag_by_key(rows, per_session, octets, within)
 
     is_new = F.col("new_ind") == 1
     previous = {
         "prev_acctstarttime": F.when(is_new, F.col("_start")).otherwise(F.col("acctstarttime")),
         "prev_adj_acctstoptime": F.when(is_new, F.col("_stop")).otherwise(F.col("h_adj_acctstoptime")),
-        "prev_acctinputoctets": F.when(is_new, F.col("_in")).otherwise(F.col("h_acctinputoctets")),
-        "prev_acctoutputoctets": F.when(is_new, F.col("_out")).otherwise(F.col("h_acctoutputoctets")),
+        "prev_acctinputoctets": F.when(~is_new, F.col("h_acctinputoctets")),
+        "prev_acctoutputoctets": F.when(~is_new, F.col("h_acctoutputoctets")),
         "hashdiff": F.col("stg_hashdiff"),
     }
     delta = {

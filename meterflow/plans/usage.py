@@ -16,7 +16,6 @@ from meterflow.sources.meter_files import USABLE
 ALLOWED_RATE = 100
 HORIZON_DAYS = 31
 RETAIN_DAYS = 40
-BATCH_CAP = 100_000
 STATE_KEYS = ["subscriber_number", "end_date"]
 COUNTERS = ("overall_usage_anytime", "overall_usage_offpeak", "overall_available_tokens")
 READ_COLUMNS = ("id", "clock", "subscriber_number", *COUNTERS, "end_date", "terminal_status")
@@ -41,30 +40,29 @@ def _is_pending(as_of: dt.datetime, days: int, statuses: tuple[str, ...]) -> Col
 
 
 def oldest(df: DataFrame, cap: int) -> DataFrame:
-    """The ``cap`` oldest rows.
+    """The ``cap`` oldest rows; rows without ``end_date`` come last.
 
     An hourly histogram (a few hundred rows for the reading horizon) gives the hour in
     which the cap is reached. The final top-k then sees little more than ``cap`` rows,
     instead of up to ``cap`` rows from every one of thousands of scan tasks.
     """
     hour = trunc_seconds(F.col("end_date"), 3600).alias("hour")
-    hours = df.groupBy(hour).agg(F.count(F.lit(1)).alias("n"))
+    hours = df.where("end_date IS NOT NULL").groupBy(hour).agg(F.count(F.lit(1)).alias("n"))
     so_far = F.sum("n").over(Window.orderBy("hour"))
     reached = hours.withColumn("so_far", so_far).where(F.col("so_far") >= cap)
-    until = reached.agg(
-        F.coalesce(F.min("hour") + F.expr("INTERVAL '1' HOUR"), ntz("9999-12-31 00:00:00"))
-    ).scalar()
-    return df.where(F.col("end_date") < until).orderBy("end_date", "id").limit(cap)
+    until = reached.agg(F.min("hour") + F.expr("INTERVAL '1' HOUR")).scalar()
+    near = df.where(until.isNull() | (F.col("end_date") < until))
+    return near.orderBy(F.asc_nulls_last("end_date"), F.asc_nulls_last("id")).limit(cap)
 
 
 def read_unsummarised(
     log: DataFrame,
     as_of: dt.datetime,
     days: int = HORIZON_DAYS,
-    cap: int | None = BATCH_CAP,
+    cap: int | None = None,
     statuses: tuple[str, ...] = USABLE,
 ) -> DataFrame:
-    """Pending usable rows of the last days, the oldest first."""
+    """Pending usable rows of the last days; with ``cap`` so many of the oldest."""
     rows = log.where(_is_pending(as_of, days, statuses)).select(*READ_COLUMNS)
     return rows if cap is None else oldest(rows, cap)
 
@@ -245,15 +243,20 @@ def summarise_batch(
     plan: KeyChunks | None = None,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """Calculate the pending rows of the log. Returns the new log and the new state."""
+    """Calculate the pending rows of the log. Returns the new log and the new state.
+
+    With ``cap`` the oldest so many pending rows are calculated, and all rows that tie with the last of
+    them in time and id; the others wait. No row is in both parts or in none.
+    """
     pending = F.coalesce(_is_pending(as_of, days, statuses), F.lit(False))
     batch, kept = log.where(pending), log.where(~pending)
     if cap is not None:
         waiting = batch
-        batch = oldest(batch, cap)
         place = F.struct("end_date", "id")
-        last = batch.agg(F.max(place)).scalar()
-        kept = kept.unionByName(waiting.where(place > last))
+        last = oldest(waiting, cap).agg(F.max(place)).scalar()
+        taken = F.coalesce(place <= last, F.lit(False))
+        batch = waiting.where(taken)
+        kept = kept.unionByName(waiting.where(~taken))
     done = calculated_rows(batch, state, as_of, statuses=statuses, plan=plan, **options)
     return kept.unionByName(done), next_state(state, batch, as_of)
 

@@ -35,6 +35,16 @@ METER_RECORD = _schema({
 # Lines that could not become records.
 QUARANTINE = _schema({"udr_file_name": STR, "reason": STR, "line": STR})
 
+# What became of a meter file.
+FILE_STATUS = _schema({
+    "udr_file_name": STR,
+    "n_lines": LONG,
+    "n_records": LONG,
+    "n_bad_json": LONG,
+    "n_bad_field": LONG,
+    "file_ok": T.BooleanType(),
+})
+
 # The columns of the meter log that usage calculation needs or sets.
 METER_LOG = _schema({
     "id": LONG,

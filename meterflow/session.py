@@ -23,8 +23,11 @@ RECOMMENDED = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
+    """Fill in the recommended settings that the session does not set itself."""
+    chosen = spark._jsparkSession.sessionState().conf()
     for key, value in RECOMMENDED.items():
-        spark.conf.set(key, value)
+        if not chosen.contains(key):
+            spark.conf.set(key, value)
     return spark
 
 
@@ -44,9 +47,12 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint folder of the cluster.
 
-    Only where none is configured (tests on one machine) a local temporary folder is used.
+    Only a session on one machine (``local[...]``) without that setting gets a local temporary folder; on a
+    cluster every executor would write to a disk of its own, so there it is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="meterflow-")
     return f"{root}/meterflow/{label}-{uuid.uuid4().hex}"
 

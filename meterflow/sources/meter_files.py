@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from meterflow.functions.expr import epoch_to_local
 from meterflow.schemas import METER_RECORD
 
-MAX_FILES = 35
 USABLE = ("normal", "minor")
 BARRED = ("critical", "suspended")
 
@@ -39,8 +38,8 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").load(folder).select("path")
 
 
-def select_files(listing: DataFrame, cap: int | None = MAX_FILES, suffix: str = ".udr") -> DataFrame:
-    """The oldest meter files of a listing by the time in their names."""
+def select_files(listing: DataFrame, cap: int | None = None, suffix: str = ".udr") -> DataFrame:
+    """The meter files of a listing, oldest first by the time in their names; with ``cap`` so many of them."""
     name = F.element_at(F.split("path", "/"), -1)
     stamp = F.regexp_extract(name, r"_([0-9]{12})\.[^_]*$", 1)
     files = (
@@ -60,11 +59,13 @@ def scan_lines(spark: SparkSession, path: str | list[str], glob: str = "*.udr")
 
 
 def stream_lines(
-    spark: SparkSession, folder: str, glob: str = "*.udr", max_files: int = MAX_FILES
+    spark: SparkSession, folder: str, glob: str = "*.udr", max_files: int | None = None
 ) -> DataFrame:
-    """The same as an incremental scan: each file once, at most ``max_files`` per batch."""
+    """The same as an incremental scan: each file once, all that are there in a batch, or at most ``max_files``."""
     reader = spark.readStream.option("pathGlobFilter", glob)
-    return _named(reader.option("maxFilesPerTrigger", max_files).text(folder))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _named(reader.text(folder))
 
 
 def _named(lines: DataFrame) -> DataFrame:

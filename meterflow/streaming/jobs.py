@@ -1,13 +1,14 @@
 """The jobs as incremental runs: file streams into versioned tables.
 
 Each job is a batch operator inside ``foreachBatch``. The stream's checkpoint makes sure that
-a file is read once; the batch number in the table's commit makes a repeated batch harmless.
-A table root therefore belongs to one checkpoint.
+a file is read once; the stream's id and batch number in the table's commit make a repeated batch harmless.
+A stream that starts anew has another id: its batches follow the ones that are there.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -22,10 +23,11 @@ from meterflow.plans.sessions import analysis_view, changes_delta, session_stage
 from meterflow.plans.usage import RETAIN_DAYS, next_state, usage_increments
 from meterflow.schemas import COUNTER_STATE, METER_RECORD, SESSION_HISTORY, SESSION_STAGE
 from meterflow.sources.meter_files import (
-    MAX_FILES,
     USABLE,
     accepted,
     classify_lines,
+    file_status,
+    finished_only,
     quarantined,
     stream_lines,
 )
@@ -34,12 +36,21 @@ from meterflow.sources.tables import VersionedTables
 RECORD_KEYS = ["subscriber_number", "clock", "ns"]
 
 
-def _run(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame, int], None]) -> StreamingQuery:
+def _run(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame, int, str], None]) -> StreamingQuery:
     """Process what is there now, in batches, then stop; run again on the next schedule."""
-    writer = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
+
+    def batch(rows: DataFrame, number: int) -> None:
+        work(rows, number, _stream_id(rows.sparkSession, checkpoint))
+
+    writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream has written into its checkpoint before its first batch."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
+
 def _same_time(target: DataFrame, rows: DataFrame, col: str) -> DataFrame:
     """The part of a table in the time range of a batch; the range reaches the scan."""
     low = rows.agg(F.coalesce(F.min(col), ntz("9999-12-31 00:00:00"))).scalar()
@@ -55,19 +66,25 @@ def ingest_files(
     tz: str,
     created_by: str,
     glob: str = "*.udr",
-    max_files: int = MAX_FILES,
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """New meter files into the tables ``records`` (known keys ignored) and ``quarantine``."""
+    """New meter files into ``records`` (known keys ignored), ``quarantine`` and ``files`` (a status row per file).
 
-    def work(lines: DataFrame, batch: int) -> None:
+    A file is stored as a whole or not at all: one with a wrong field leaves no record and waits in ``files`` as
+    not done, until it is sent again under another name. A batch holds whole files.
+    """
+
+    def work(lines: DataFrame, batch: int, stream: str) -> None:
         store = VersionedTables(lines.sparkSession, tables)
         classified = classify_lines(lines, tz, created_by).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = accepted(classified)
+            status = file_status(classified)
+            rows = finished_only(accepted(classified), status)
             # equal keys have equal clocks, so older and newer records cannot conflict
             near = _same_time(store.read("records", METER_RECORD), rows, "end_date")
             new = insertable(near, rows, RECORD_KEYS, tie_break=["udr_file_name", "end_date"])
-            store.publish(batch, append={"records": new, "quarantine": quarantined(classified)})
+            changes = {"records": new, "quarantine": quarantined(classified), "files": status}
+            store.publish(batch, append=changes, stream=stream)
         finally:
             classified.unpersist()
 
@@ -88,38 +105,39 @@ def usage_from_log(
     schema: StructType,
     tables: str,
     checkpoint: str,
-    max_files: int = 1000,
+    as_of: dt.datetime,
+    max_files: int | None = None,
     compact_every: int = 24,
     retain_days: int = RETAIN_DAYS,
 ) -> StreamingQuery:
     """New log files into the tables ``increments`` and ``state``, committed together.
 
     A batch appends its readings to the state; the newest reading per subscriber is looked
-    up when it is needed. Every ``compact_every`` batches the state is rewritten without
-    replaced and expired rows.
+    up when it is needed. ``as_of`` is the time of the run: state older than ``retain_days`` before it plays no part in
+    any batch, whether or not it has been removed. After ``compact_every`` batches the state is rewritten without
+    replaced and expired rows, which changes no result.
     """
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(folder)
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
 
-    def work(rows: DataFrame, batch: int) -> None:
+    def work(rows: DataFrame, batch: int, stream: str) -> None:
         session = rows.sparkSession
         store = VersionedTables(session, tables)
         usable = rows.where(F.col("terminal_status").isin(*USABLE)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            state = store.read("state", COUNTER_STATE)
+            state = retain(store.read("state", COUNTER_STATE), ntz(str(as_of)), retain_days)
             increments = usage_increments(usable, state)
-            now = dt.datetime.now()
             if len(store.folders("state")) < compact_every:
-                readings = usable.withColumn("load_time", ntz(str(now))).select(*COUNTER_STATE.names)
-                store.publish(batch, append={"increments": increments, "state": readings})
+                readings = usable.withColumn("load_time", ntz(str(as_of))).select(*COUNTER_STATE.names)
+                store.publish(batch, append={"increments": increments, "state": readings}, stream=stream)
             else:
-                newest = usable.agg(F.max("end_date")).scalar()
-                last = F.coalesce(newest, ntz("1900-01-01 00:00:00"))
-                full = retain(next_state(state, usable, now), last, retain_days)
-                store.publish(batch, append={"increments": increments}, replace={"state": full})
+                full = next_state(state, usable, as_of)
+                store.publish(batch, append={"increments": increments}, replace={"state": full}, stream=stream)
         finally:
             usable.unpersist()
 
-    return _run(stream, checkpoint, work)
+    return _run(reader.parquet(folder), checkpoint, work)
 
 
 def sessions_from_snapshots(
@@ -127,26 +145,34 @@ def sessions_from_snapshots(
     folder: str,
     tables: str,
     checkpoint: str,
-    max_files: int = 1000,
+    max_files: int | None = None,
     latest_only: bool = False,
 ) -> StreamingQuery:
-    """New snapshot files into the tables ``history`` and ``analysis``, committed together.
+    """New snapshot files into the tables ``history`` and ``analysis``, one commit for each interval (``etl_date``).
 
-    The history grows by the changes only; it is never rewritten.
+    A backlog holds several snapshots; each is compared with the history that the ones before it leave, in the order of
+    time. The history grows by the changes only; it is never rewritten. Where a limit of files cuts a snapshot, its
+    rest is an interval of the next batch.
     """
-    reader = spark.readStream.schema(SESSION_STAGE).option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(SESSION_STAGE)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
 
-    def work(rows: DataFrame, batch: int) -> None:
+    def work(rows: DataFrame, batch: int, stream: str) -> None:
         store = VersionedTables(rows.sparkSession, tables)
-        stage = session_stage(rows)
-        history = store.read("history", SESSION_HISTORY)
-        delta = changes_delta(stage, history, latest_only).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            ordered = delta.drop("new_ind").sortWithinPartitions(
-                "username", "acctstarttime", "extract_date"
-            )
-            store.publish(batch, append={"history": ordered, "analysis": analysis_view(delta)})
-        finally:
-            delta.unpersist()
+        # the driver gets a row per hour of backlog
+        times = [r["extract_date"] for r in rows.select("extract_date").distinct().collect()]
+        for place, time in enumerate(sorted(times, key=lambda t: (t is None, t or dt.datetime.min))):
+            part = rows.where(F.col("extract_date").eqNullSafe(F.lit(None) if time is None else ntz(str(time))))
+            stage = session_stage(part).persist(StorageLevel.MEMORY_AND_DISK)
+            history = store.read("history", SESSION_HISTORY)
+            delta = changes_delta(stage, history, latest_only).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                ordered = delta.drop("new_ind").sortWithinPartitions("username", "acctstarttime", "extract_date")
+                changes = {"history": ordered, "analysis": analysis_view(delta)}
+                store.publish(batch, append=changes, stream=f"{stream}-{place}")
+            finally:
+                delta.unpersist()
+                stage.unpersist()
 
     return _run(reader.parquet(folder), checkpoint, work)

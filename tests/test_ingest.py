@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from meterflow.schemas import METER_RECORD, QUARANTINE
+from meterflow.schemas import FILE_STATUS, METER_RECORD, QUARANTINE
 from meterflow.sources import meter_files
 from meterflow.sources.tables import VersionedTables, read_csv, write_csv
 from meterflow.streaming import jobs
@@ -142,6 +142,31 @@ def test_streaming_dedupe(spark, inbox, tmp_path):
     assert spark.table("unique_records").count() == 7
 
 
+def test_new_checkpoint_with_new_lines(spark, tmp_path):
+    """A stream that starts anew counts its batches from 0 again; its new lines are stored all the same."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+
+    def run(checkpoint):
+        jobs.ingest_files(spark, str(folder), str(tmp_path / "t"), str(tmp_path / checkpoint), "UTC", "me").awaitTermination()
+        return VersionedTables(spark, str(tmp_path / "t")).read("records", METER_RECORD).count()
+
+    (folder / "n_202401010100.udr").write_text(line() + "\n")
+    assert run("c1") == 1
+    (folder / "n_202401010200.udr").write_text("\n".join(line(LastPolledTime=1706000000000 + 1000 * k) for k in range(1, 5)) + "\n")
+    assert run("c2") == 5
+
+
+def test_a_file_with_a_bad_field_waits_whole(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "n_202401010100.udr").write_text(line() + "\n" + line(drop=["FapStatus"]) + "\n")
+    jobs.ingest_files(spark, str(folder), str(tmp_path / "t"), str(tmp_path / "c"), "UTC", "me").awaitTermination()
+    store = VersionedTables(spark, str(tmp_path / "t"))
+    assert store.read("records", METER_RECORD).count() == 0
+    assert [(r.n_lines, r.file_ok) for r in store.read("files", FILE_STATUS).collect()] == [(2, False)]
+
+
 def test_versioned_tables(spark, tmp_path):
     store = VersionedTables(spark, str(tmp_path / "v"))
     one = spark.range(3)
@@ -153,10 +178,23 @@ def test_versioned_tables(spark, tmp_path):
     store.publish(2, replace={"t": store.read("t", one.schema).limit(1)})
     store.publish(3, append={"t": one})
     assert store.read("t", one.schema).count() == 4 and store.read("u", one.schema).count() == 3
+    # another stream's batch 0 follows
+    assert store.publish(0, append={"t": one}, stream="other") and not store.publish(0, append={"t": one}, stream="other")
+    assert store.read("t", one.schema).count() == 7 and store.batches() == [0, 1, 2, 3, 4]
     # rows of a batch that was never committed stay unseen, and the batch can be repeated
-    one.write.parquet(str(tmp_path / "v/t/batch=4"))
-    assert store.read("t", one.schema).count() == 4
-    assert store.publish(4, append={"t": one}) and store.read("t", one.schema).count() == 7
+    one.write.parquet(str(tmp_path / "v/t/batch=5"))
+    assert store.read("t", one.schema).count() == 7
+    assert store.publish(4, append={"t": one}) and store.read("t", one.schema).count() == 10
+
+
+def test_one_commit_file_is_opened(spark, tmp_path, monkeypatch):
+    store = VersionedTables(spark, str(tmp_path / "v"))
+    for k in range(5):
+        store.publish(k, append={"t": spark.range(1)})
+    for k in range(5):
+        if k < 4:
+            os.remove(tmp_path / f"v/_commits/{k}_batch_{k}")
+    assert store.read("t", spark.range(1).schema).count() == 5
 
 
 @pytest.mark.parametrize("sep", ["^", ";"])
