@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.functions.expr import in_interval
@@ -42,28 +40,20 @@ def joined_text(
     group: list[str],
     order: list[str],
     text: str,
-    spread: str,
     max_lines: int,
     separator: str = "\n",
 ) -> DataFrame:
-    """The lines of each group as one text, in order.
+    """The lines of each group as texts of at most ``max_lines`` lines, numbered from 0.
 
-    A group of more than ``max_lines`` lines comes as several numbered parts, dealt out by
-    the integer column ``spread``, so no cell and no task has to hold an unbounded group.
-    Together the parts hold every line.
+    Lines are numbered in order and cut into runs, so the parts of a group joined in their order are the
+    whole text, whatever its size, and no cell holds an unbounded group. One pass: parts keep the window's partitioning.
     """
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_lines"))
-    long = counts.where(F.col("_lines") > max_lines).select(
-        *[F.col(c).alias(f"_{c}") for c in group], "_lines"
-    )
-    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(long[f"_{c}"]) for c in group])
-    parts = F.coalesce(F.ceil(F.col("_lines") / max_lines), F.lit(1))
-    part = F.pmod(F.col(spread), parts).cast("int")
-    line = F.struct(*[F.col(c) for c in order], F.col(text).alias("_text"))
+    by = Window.partitionBy(*group).orderBy(*[F.asc_nulls_last(c) for c in (*order, text)])
+    part = F.floor((F.row_number().over(by) - 1) / max_lines).cast("int")
+    line = F.struct("_place", F.col(text).alias("_text"))
     lines = F.transform(F.sort_array(F.collect_list(line)), lambda x: x["_text"])
     return (
-        df.join(long, same, "left")
-        .withColumn("part", part)
+        df.withColumns({"part": part, "_place": F.row_number().over(by)})
         .groupBy(*group, "part")
         .agg(F.count(F.lit(1)).alias("n"), F.array_join(lines, separator).alias("text"))
     )

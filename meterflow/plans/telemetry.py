@@ -71,7 +71,7 @@ def captions(long: DataFrame) -> DataFrame:
 def caption_texts(long: DataFrame, by: list[str], max_lines: int = MAX_LINES) -> DataFrame:
     """The captions of each report as one text; very long reports come in parts."""
     order = ["id", "state", "caption"]
-    return joined_text(captions(long), by, order, "caption", spread="id", max_lines=max_lines)
+    return joined_text(captions(long), by, order, "caption", max_lines)
 
 
 def proc_report(
@@ -109,23 +109,24 @@ def disk_parse(lines: DataFrame) -> DataFrame:
 def disk_breaches(parsed: DataFrame, rules: DataFrame) -> DataFrame:
     """Watched mounts at or over their limit. Of several rules the longest host suffix counts.
 
-    The rules are gathered per mount first, so the join is an equi join on the mount and
-    each line finds its rule in a short array: no cross join and no second shuffle.
+    Rules are looked up for the distinct hosts and mounts only: each host is turned into all its suffixes, which
+    meet the rules in an equi join on mount and suffix, and the longest one that is found stays.
     """
-    rule = F.struct(F.length("host_suffix").alias("width"), "host_suffix", "min_pct")
-    per_mount = rules.groupBy("mount").agg(
-        F.sort_array(F.collect_set(rule), asc=False).alias("_rules")
+    places = parsed.select("host", "mount").where("host IS NOT NULL").distinct()
+    ends = F.explode(F.transform(F.sequence(F.lit(0), F.length("host")), lambda n: F.right("host", n)))
+    named = places.select("host", "mount", ends.alias("host_suffix"))
+    rule = F.struct(F.length("host_suffix").alias("width"), "min_pct")
+    found = named.join(rules.select("mount", "host_suffix", "min_pct"), ["mount", "host_suffix"]).groupBy("host", "mount").agg(
+        F.max(rule)["min_pct"].alias("min_pct")
     )
-    fitting = F.filter("_rules", lambda r: F.col("host").endswith(r["host_suffix"]))
-    joined = parsed.join(per_mount, "mount").withColumn("min_pct", F.get(fitting, F.lit(0))["min_pct"])
+    joined = parsed.join(found, ["host", "mount"])
     return joined.where(F.col("used_pct") >= F.col("min_pct")).select(*parsed.columns, "min_pct")
 
 
-def disk_texts(breaches: DataFrame, by: list[str], order: list[str], spread: str,
-               max_lines: int = MAX_LINES) -> DataFrame:
+def disk_texts(breaches: DataFrame, by: list[str], order: list[str], max_lines: int = MAX_LINES) -> DataFrame:
     """One message per host report; very long reports come in parts."""
     line = F.format_string("Disk usage on %s is %d%% %s", "device", "used_pct", "mount")
-    return joined_text(breaches.withColumn("_line", line), by, order, "_line", spread, max_lines)
+    return joined_text(breaches.withColumn("_line", line), by, order, "_line", max_lines)
 
 
 def disk_report(lines: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -134,4 +135,4 @@ def disk_report(lines: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFram
     Lines carry ``host``, ``report_ts``, ``line_no`` and ``line``.
     """
     breaches = disk_breaches(disk_parse(lines), rules)
-    return breaches, disk_texts(breaches, ["host", "report_ts"], ["line_no"], spread="line_no")
+    return breaches, disk_texts(breaches, ["host", "report_ts"], ["line_no"])

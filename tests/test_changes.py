@@ -42,10 +42,13 @@ def test_move_flagged_keeps_rows_without_state(spark):
 def test_joined_text_in_parts_holds_every_line(spark):
     df = spark.range(25).select(F.col("id"), F.floor(F.col("id") / 20).alias("g"), F.col("id").cast("string").alias("t"))
     df = df.withColumn("g", F.when(F.col("g") == 0, F.lit(None)).otherwise(F.col("g")))
-    got = rollup.joined_text(df, ["g"], ["id"], "t", spread="id", max_lines=6).collect()
+    got = rollup.joined_text(df, ["g"], ["id"], "t", max_lines=6).collect()
     assert sum(r.n for r in got) == 25 and max(r.n for r in got) <= 6
     assert sorted(t for r in got for t in r.text.split("\n")) == sorted(str(i) for i in range(25))
     assert [r.text for r in got if r.g == 1] == ["20\n21\n22\n23\n24"]
+    # parts in their order are the whole text
+    long = "\n".join(r.text for r in sorted(got, key=lambda r: r.part) if r.g is None)
+    assert long == "\n".join(map(str, range(20)))
 
 
 def test_expressions_do_not_depend_on_the_session_zone(spark):
