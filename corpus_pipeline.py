@@ -22,12 +22,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeated runs of lines are cut out. A document that loses all its lines goes; one that had none (missing or empty) stays.
+    """Later repeated runs of lines are cut out. A document of which only white space is left goes; one that had none (missing or empty) stays.
 
     n_chars is counted anew where lines are cut out.
     """
     cut = without_repeated_lines(docs)
-    cut = cut.where("NOT (n_lines > 0 AND size(removed) = n_lines)")
+    cut = cut.where("NOT (size(removed) > 0 AND text RLIKE '^[ \\\\t\\\\n]*$')")
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.when(F.size("removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return cut.select(*docs.columns)

@@ -19,16 +19,21 @@ from meterflow.llm.shared import stored
 
 GRAM_WORDS = 20
 SURE_WORDS = 40
-# after a line break, or after a sentence's end and one white space; white space never begins a line
-CUT = r"(?<=\n)(?=\S)|(?<=[.!?]\s)(?=\S)"
+# after a line break, or after a sentence's end and a space
+ENDS = [". ", "! ", "? ", "\n"]
+CUT = r"(?<=[.!?] )|(?<=\n)"
+MARK = "\x01"
 
 
 def _run_lengths(least: int) -> Column:
-    """From each line on, how many lines it takes to have ``least`` words (every line has one or more); 0 if they do not suffice."""
+    """From each line on, how many lines it takes to have ``least`` words (every line has one or more); 0 if they never do.
+
+    A few lines are tried first, as they mostly suffice; then as many as could be needed.
+    """
     step = f"(a, w) -> if(a.s < {least}, named_struct('n', a.n + 1, 's', a.s + w), a)"
-    return F.expr(
-        f"transform(sequence(1, size(words)), i -> aggregate(slice(words, i, {least}), named_struct('n', 0, 's', 0), {step}, a -> if(a.s < {least}, 0, a.n)))"
-    )
+    reached = f"aggregate(slice(words, i, {{n}}), named_struct('n', 0, 's', 0), {step}, a -> if(a.s < {least}, NULL, a.n))"
+    tries = ", ".join(reached.format(n=n) for n in (-(-least // 4), least))
+    return F.expr(f"transform(sequence(1, size(words)), i -> coalesce({tries}, 0))")
 
 
 def _with_version(docs: DataFrame) -> DataFrame:
@@ -36,34 +41,49 @@ def _with_version(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_version", F.hash(F.col("text").cast("string")))
 
 
+def _pieces() -> Column:
+    """The text cut after each of ``ENDS``. Marks are put in and split at, which is much faster than the pattern; a text that holds the mark takes the pattern."""
+    text = F.col("text").cast("string")
+    marked = text
+    for end in ENDS:
+        marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
+    return F.when(F.contains(text, F.lit(MARK)), F.split(text, CUT, -1)).otherwise(F.split(marked, MARK, -1))
+
+
 def _with_runs(docs: DataFrame, gram_words: int) -> DataFrame:
     """The rows with _pieces (the text in parts), words (of each line) and short (lines to a gram)."""
-    pieces = docs.withColumn("_pieces", F.split(F.col("text").cast("string"), CUT, -1))
-    lines = pieces.withColumn("_lines", F.transform("_pieces", lambda p: F.trim(F.translate(p, "\t\n", "  "))))
-    words = lines.withColumn("words", F.transform("_lines", lambda p: F.length(p) - F.length(F.translate(p, " ", "")) + 1))
+    pieces = docs.withColumn("_pieces", _pieces())
+    lines = pieces.withColumn("_lines", F.transform("_pieces", lambda p: F.btrim(p, F.lit(" \t\n"))))
+    words = lines.withColumn("words", F.expr("transform(_lines, p -> octet_length(p) - octet_length(replace(p, ' ', '')) + 1)"))
     return words.withColumn("short", _run_lengths(gram_words))
 
 
 def fingerprinted(docs: DataFrame, gram_words: int, sure_words: int) -> DataFrame:
-    """id, version, grams (hash of the gram from each line on), prints (places of the fingerprints), again (places of grams that the document had before)."""
+    """id, version, grams (hash of the gram from each line on), prints (hashes of the fingerprints), again (places of grams that the document had before)."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
     runs = _with_runs(_with_version(texts.where("id IS NOT NULL AND text RLIKE '[^ \\\\t\\\\n]'")), gram_words)
     grams = runs.withColumn("long", _run_lengths(sure_words)).withColumn("hashes", F.transform("_lines", lambda p: F.xxhash64(p)))
-    # the places with a gram are the first ones
+    # the places with a gram are the first ones; one gram more holds the lines from the last of them to the text's end
     # (an array that a lambda reads must be named twice, or the optimizer moves its making into the lambda)
-    grams = grams.withColumn("grams", F.expr("transform(filter(sequence(1, size(hashes)), i -> short[i - 1] > 0), i -> xxhash64(slice(hashes, i, short[i - 1])))"))
+    grams = grams.withColumn("starts", F.expr("size(filter(short, n -> n > 0))"))
+    grams = grams.withColumn("grams", F.expr(_GRAMS))
     sorted_ = "if(size(array_distinct(grams)) < size(grams), array_sort(transform(grams, (g, i) -> named_struct('hash', g, 'at', i + 1))), NULL)"
     # (no filter on any of these arrays: it would be pushed below and make them again in its own lambdas)
     grams = grams.withColumn("sorted", F.expr(sorted_))
     return grams.select("id", F.col("_version").alias("version"), "grams", F.expr(_PRINTS).alias("prints"), F.expr(_AGAIN).alias("again"))
 
 
+_GRAMS = """
+concat(transform(filter(sequence(1, size(hashes)), i -> i <= starts), i -> xxhash64(slice(hashes, i, short[i - 1]))),
+       if(starts > 0 AND starts + get(short, starts - 1) <= size(hashes), array(xxhash64(slice(hashes, starts, size(hashes)))), array()))
+"""
+
 # For each place with a sure run the smallest gram inside it; all grams of a shorter document are one choice.
 _PRINTS = """
-if(size(grams) = 0, cast(array() AS array<int>), if(long[0] = 0, array(cast(array_position(grams, array_min(grams)) AS int)), array_distinct(transform(
-    filter(sequence(1, size(grams)), i -> long[i - 1] > 0),
-    i -> array_min(transform(filter(sequence(i, i + long[i - 1] - 1), j -> j <= size(grams) AND j + short[j - 1] <= i + long[i - 1]),
-                             j -> named_struct('hash', grams[j - 1], 'at', j))).at))))
+if(size(grams) = 0, cast(array() AS array<bigint>), if(long[0] = 0, array(array_min(grams)), array_distinct(transform(
+    filter(sequence(1, starts), i -> long[i - 1] > 0),
+    i -> array_min(slice(grams, i, size(filter(
+        sequence(i, i + long[i - 1] - 1), j -> j <= starts AND j + short[j - 1] <= i + long[i - 1]))))))))
 """
 
 _AGAIN = """
@@ -75,7 +95,7 @@ if(sorted IS NULL, cast(array() AS array<int>), filter(transform(
 def repeated_places(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_words: int = SURE_WORDS) -> DataFrame:
     """id, version, places (from 1) of the grams that an earlier place has, for the documents that have any."""
     printed = stored(fingerprinted(docs, gram_words, sure_words), "fingerprints")
-    prints = printed.select("id", F.explode(F.expr("transform(prints, i -> grams[i - 1])")).alias("hash"))
+    prints = printed.select("id", F.explode("prints").alias("hash"))
     touched = prints.join(_first_ids(prints).select("hash"), "hash").select("id").distinct()
     shared = stored(printed.select("id", "version", "grams").join(touched, "id", "left_semi"), "shared")
     grams = shared.select("id", "version", F.posexplode("grams").alias("place", "hash"))
@@ -93,8 +113,8 @@ def _first_ids(grams: DataFrame) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_words: int = SURE_WORDS) -> DataFrame:
     """All rows and columns of ``docs`` (doc_id, text), text without later repeated runs of lines, with n_lines and removed (places from 0).
 
-    Lines end at line breaks and, after a sentence's end (. ! ?), at white space; they are compared without outer white
-    space. Words of a line: its white spaces plus one. A gram (``gram_words`` words) that an earlier place has goes if the document shares
+    Lines end after line breaks and after a sentence's end (. ! ?) and a space; they are compared without outer spaces, tabs and
+    breaks. Words of a line: its spaces plus one. A gram (``gram_words`` words) that an earlier place has goes if the document shares
     a fingerprint with another one, which is sure for a common run of ``sure_words`` words, or has the gram twice itself.
     Earlier: smaller doc_id, then smaller place, so the first one stays. Other texts stay as
     they are, to the byte. A missing text stays missing, an empty one empty (n_lines 0). Rows that share a doc_id are no
@@ -107,9 +127,9 @@ def without_repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_w
     places = places.select(F.col("id").alias("_id"), F.col("version").alias("_version"), F.col("places").alias("_places"))
     joined = keyed.join(places, ["_id", "_version"], "left")
     # grams only where some go
-    cut = joined.withColumn("_pieces", F.split(F.col("text").cast("string"), CUT, -1))
-    own = _with_runs(joined.where("_places IS NOT NULL"), gram_words)
-    own = own.withColumn("removed", F.expr("array_sort(array_distinct(flatten(transform(filter(_places, i -> i <= size(short)), i -> sequence(i - 1, i + short[i - 1] - 2)))))"))
+    cut = joined.withColumn("_pieces", _pieces())
+    own = _with_runs(joined.where("_places IS NOT NULL"), gram_words).withColumn("starts", F.expr("size(filter(short, n -> n > 0))"))
+    own = own.withColumn("removed", F.expr("array_sort(array_distinct(flatten(transform(filter(_places, i -> i <= size(short) + 1), i -> if(i <= starts, sequence(i - 1, i + short[i - 1] - 2), sequence(starts - 1, size(short) - 1))))))"))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(_pieces) - 1), removed), i -> _pieces[i]), '')")
     # (out of an array of one: a filter on these columns then stays above their making)
     made = F.struct(kept.alias("text"), F.size("_pieces").cast("bigint").alias("n_lines"), "removed")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterflow.llm.winnow import without_repeated_lines
 
 SCHEMA = "doc_id bigint, text string"
-CUT = re.compile(r"(?<=\n)(?=\S)|(?<=[.!?]\s)(?=\S)")
+CUT = re.compile(r"(?<=\n)|(?<=[.!?] )")
 
 
 def gram(lines, a, least):
@@ -25,7 +25,7 @@ def brute_force(rows, gram_words, sure_words):
     docs = {}
     for i, text in rows:
         if i is not None and text and text.strip():
-            docs[i] = [(p.strip(), len(re.sub(r"\S", "", p.strip())) + 1) for p in CUT.split(text)]
+            docs[i] = [(p.strip(" \t\n"), p.strip(" \t\n").count(" ") + 1) for p in CUT.split(text)]
     out = []
     for least in (sure_words, gram_words):
         seen, gone = set(), {i: set() for i in docs}
@@ -39,6 +39,12 @@ def brute_force(rows, gram_words, sure_words):
                             if (d := gram(lines, c, gram_words)) is not None and d <= b:
                                 gone[i].update(range(c, d))
                     seen.add(key)
+            # the lines from the last gram's start to the end are a gram too
+            if (starts := [a for a in range(len(lines)) if gram(lines, a, gram_words)]) and least == gram_words:
+                key = ("end", *(x for x, _ in lines[starts[-1] :]))
+                if key in seen:
+                    gone[i].update(range(starts[-1], len(lines)))
+                seen.add(key)
         out.append(gone)
     return out
 
