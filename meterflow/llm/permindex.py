@@ -95,14 +95,14 @@ def nearest(vectors: DataFrame, is_query: str, k: int = 20, pivots: int = PIVOTS
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest found for each vector for which the SQL condition ``is_query`` holds.
 
     Nearness is the inner product in double precision, ties go to the smaller vec_id; a query does not find its own vec_id. The
-    ``pivots`` pivots are the vectors with the smallest hash of vec_id, the only sample here: every vector is in the index. See
+    ``pivots`` pivots are the distinct vectors with the smallest hash, the only sample here: every vector is in the index. See
     ``usable`` for vectors that take no part. Repeated rows (one id, one vector) count once; an id with two vectors is two vectors. Equal
     vectors share a posting and are expanded in the order of their ids. Other columns of ``vectors`` are not looked at.
     """
     spark = vectors.sparkSession
     v = stored(usable(vectors).distinct(), "vectors")
     empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    sample = v.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(pivots).collect()
+    sample = v.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(pivots).collect()
     if not sample:
         return empty
     facts = v.agg(F.count("*").alias("n"), F.count_if(F.expr(is_query)).alias("queries"), F.max(F.expr("aggregate(v, 0D, (a, x) -> a + x * x)")).alias("square")).first()

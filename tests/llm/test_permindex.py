@@ -1,6 +1,8 @@
 """The index against brute force: recall, exact scores, ties and odd rows."""
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from meterflow.llm.permindex import nearest, op8_permutation_index, search_block
@@ -68,3 +70,32 @@ def test_odd_rows(spark):
     assert got == want
     assert nearest(df.limit(0), "vec_id % 20 = 0").collect() == []
     assert found(nearest(df.where("vec_id = 20"), "vec_id % 20 = 0")) == {}
+
+
+def drawn(n, seed, group=0, spread=None, dims=64):
+    """``n`` unit vectors; the first ``group`` of them are copies of one vector, or lie around it if there is a ``spread``."""
+    rng = np.random.default_rng(seed)
+    v = rng.normal(size=(n, dims))
+    v[:group] = v[0] if spread is None else v[0] + spread * rng.normal(size=(group, dims))
+    v = v / np.linalg.norm(v, axis=1)[:, None]
+    return v, rng.permutation(n)
+
+
+def recall(spark, folder, v, ids, is_query="vec_id % 40 = 0", chosen=lambda i: i % 40 == 0):
+    """Share of the true 20 best scores that the index reaches, for the queries that ``chosen`` picks; equal scores count alike."""
+    path = f"{folder}/vectors.parquet"
+    pq.write_table(pa.table({"vec_id": ids, "embedding": list(v)}), path, row_group_size=4096)
+    got = found(nearest(spark.read.parquet(path), is_query))
+    hits = total = 0
+    for at in np.flatnonzero([chosen(i) for i in ids]):
+        scores = v @ v[at]
+        scores[at] = -np.inf
+        least = np.sort(scores)[-20]
+        hits, total = hits + sum(s >= least - 1e-12 for _, s in got[ids[at]]), total + 20
+    return hits / total
+
+
+def test_recall_outside_a_hot_group(spark, tmp_path):
+    v, ids = drawn(8191, 3, group=2731)
+    outside = set(ids[2731:])
+    assert recall(spark, tmp_path, v, ids, chosen=lambda i: i % 40 == 0 and i in outside) >= 0.9
