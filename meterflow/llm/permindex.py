@@ -4,7 +4,10 @@ A vector is represented by its nearest pivots in order. Pivots are a bounded sam
 blocks; a block posts each of its vectors under its pivots, with the place of the pivot in the vector's order (an inverted file per
 pivot). A query walks the files of its own pivots and adds up, for each vector it meets, how near the two orders are: with places counted
 down from ``prefix``, the induced footrule distance of two orders is a constant less twice the sum of the smaller place over all shared pivots.
-The nearest share of each block by footrule is then ranked by the exact inner product.
+The nearest share of each block by footrule is then ranked by the exact inner product, which tells how near the ``k``-th best is at least.
+The rest of the block is not cut: by the triangle inequality a vector whose angle to one pivot differs from the query's by more than the angle
+of the ``k``-th best is no nearer; all others are
+measured as well.
 
 Inner products are no angles when lengths differ; so each vector gets one more component that gives all the same length, and a query a zero.
 """
@@ -24,6 +27,9 @@ PIVOTS = 128
 PREFIX = 64
 SHARE = 0.10
 LEAST_CANDIDATES = 400
+# how many of the query's nearest pivots are asked to rule a vector out, and what rounding may do to an angle
+BOUNDS = 16
+SLACK = 1e-6
 BLOCK_VECTORS = 8192
 BLOCK_QUERIES = 2048
 
@@ -47,15 +53,26 @@ def lengthened(v: np.ndarray, longest: float) -> np.ndarray:
     return np.hstack([v, rest[:, None]])
 
 
-def orders(v: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
+def orders(products: np.ndarray, prefix: int) -> np.ndarray:
     """The ``prefix`` pivots with the largest inner product, nearest first."""
-    return np.argsort(-(v @ pivots.T), axis=1, kind="stable")[:, :prefix]
+    return np.argsort(-products, axis=1, kind="stable")[:, :prefix]
+
+
+def angles(products: np.ndarray, lengths: np.ndarray | float) -> np.ndarray:
+    """Angles of the inner products of vectors whose lengths have the product ``lengths``."""
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        return np.arccos(np.clip(products / lengths, -1, 1))
+
+
+def exact(v: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products, added up the same way wherever a vector lies, so that equal vectors of two blocks have equal scores."""
+    return np.einsum("ij,j->i", v, q)
 
 
 def search_block(
     ids: np.ndarray, v: np.ndarray, query_ids: np.ndarray, q: np.ndarray, pivots: np.ndarray, longest: float, k: int, share: float, least: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, vec_id, score) of the ``k`` nearest that the block has for each query, by footrule candidates."""
+    """(query id, vec_id, score) of the ``k`` nearest that the block has for each query: footrule candidates first, then what no pivot rules out."""
     by_id = np.argsort(ids, kind="stable")
     distinct, of = np.unique(v[by_id], axis=0, return_inverse=True)
     of = of.ravel()
@@ -63,36 +80,58 @@ def search_block(
     grouped = np.argsort(of, kind="stable")
     group_ids, bounds = ids[by_id][grouped], np.searchsorted(of[grouped], np.arange(len(distinct) + 1))
     prefix = min(PREFIX, len(pivots))
-    own = orders(lengthened(distinct, longest), pivots, prefix)
-    # inverted files: vectors posted under a pivot, with prefix - place
-    posted = np.argsort(own.ravel(), kind="stable")
-    files = np.searchsorted(own.ravel()[posted], np.arange(len(pivots) + 1))
-    vector, near = posted // prefix, (prefix - posted % prefix).astype(np.int32)
-    theirs = orders(np.hstack([q, np.zeros((len(q), 1))]), pivots, prefix)
+    products = lengthened(distinct, longest) @ pivots.T
+    own = orders(products, prefix)
+    to_pivots = np.ascontiguousarray(angles(products, longest * longest).T, np.float32)
+    # a file for each pivot: prefix - place of each vector posted under it, 0 of the others (half of all, so the file is dense)
+    files = np.zeros((len(pivots), len(distinct)), np.int16)
+    files[own, np.arange(len(distinct))[:, None]] = prefix - np.arange(prefix)
+    products = np.hstack([q, np.zeros((len(q), 1))]) @ pivots.T
+    theirs = orders(products, prefix)
+    reach = longest * np.sqrt((q * q).sum(axis=1))
+    asked = angles(products, reach[:, None]).astype(np.float32)
     take = min(len(distinct), max(least, int(np.ceil(share * len(distinct)))))
     out: list[tuple[int, int, float]] = []
-    sums = np.empty(len(distinct), np.int32)
-    for i, order in enumerate(theirs):
-        sums[:] = 0
-        for place, p in enumerate(order):
-            a, b = files[p], files[p + 1]
-            sums[vector[a:b]] += np.minimum(near[a:b], prefix - place)
-        found = np.argpartition(-sums, take - 1)[:take] if take < len(distinct) else np.arange(len(distinct))
-        scores = distinct[found] @ q[i]
-        best = found[np.argsort(-scores, kind="stable")]
+    sums, step, apart = np.empty(len(distinct), np.int16), np.empty(len(distinct), np.int16), np.empty(len(distinct), np.float32)
+
+    def ranked(i: int, found: np.ndarray) -> list[tuple[int, float]]:
+        scores = exact(distinct[found], q[i])
+        order = np.argsort(-scores, kind="stable")
         rows: list[tuple[int, float]] = []
-        for d, score in zip(best, np.sort(-scores)):
-            if len(rows) >= k and -score < rows[k - 1][1]:
+        for d, score in zip(found[order], scores[order]):
+            if len(rows) >= k and score < rows[k - 1][1]:
                 break
-            rows += [(x, -score) for x in group_ids[bounds[d] : min(bounds[d + 1], bounds[d] + k + 1)] if x != query_ids[i]]
+            rows += [(x, score) for x in group_ids[bounds[d] : min(bounds[d + 1], bounds[d] + k + 1)] if x != query_ids[i]]
         rows.sort(key=lambda r: (-r[1], r[0]))
-        out += [(query_ids[i], x, s) for x, s in rows[:k]]
+        return rows[:k]
+
+    for i, order in enumerate(theirs):
+        sums[:] = 0
+        for place, p in enumerate(order):
+            np.add(sums, np.minimum(files[p], np.int16(prefix - place), out=step), out=sums)
+        if take == len(distinct):
+            rows = ranked(i, np.arange(take))
+        else:
+            first = np.argpartition(-sums, take - 1)[:take]
+            rows = ranked(i, first)
+            open_ = np.ones(len(distinct), bool)
+            open_[first] = False
+            # (what is no number rules nothing out)
+            if len(rows) == k:
+                least_score = rows[k - 1][1]
+                limit = np.float32(angles(least_score, reach[i]) + SLACK)
+                for p in order[:BOUNDS]:
+                    np.abs(np.subtract(to_pivots[p], asked[i, p], out=apart), out=apart)
+                    open_ &= ~(apart > limit)
+                open_ &= ~(distinct @ q[i] < least_score - SLACK * reach[i])
+            rows = sorted(rows + ranked(i, np.flatnonzero(open_)), key=lambda r: (-r[1], r[0]))[:k]
+        out += [(query_ids[i], x, s) for x, s in rows]
     columns = list(zip(*out)) if out else [(), (), ()]
     return np.array(columns[0], np.int64), np.array(columns[1], np.int64), np.array(columns[2], np.float64)
 
 
 def nearest(vectors: DataFrame, is_query: str, k: int = 20, pivots: int = PIVOTS, share: float = SHARE, least: int = LEAST_CANDIDATES) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: the ``k`` nearest found for each vector for which the SQL condition ``is_query`` holds.
+    """query_id, rank (from 1), vec_id, score: the ``k`` nearest for each vector for which the SQL condition ``is_query`` holds.
 
     Nearness is the inner product in double precision, ties go to the smaller vec_id; a query does not find its own vec_id. The
     ``pivots`` pivots are the distinct vectors with the smallest hash, the only sample here: every vector is in the index. See

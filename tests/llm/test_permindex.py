@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from meterflow.llm.permindex import nearest, op8_permutation_index, search_block
@@ -99,3 +100,20 @@ def test_recall_outside_a_hot_group(spark, tmp_path):
     v, ids = drawn(8191, 3, group=2731)
     outside = set(ids[2731:])
     assert recall(spark, tmp_path, v, ids, chosen=lambda i: i % 40 == 0 and i in outside) >= 0.9
+
+
+@pytest.mark.parametrize("n", [4100, 8192, 20000])
+@pytest.mark.parametrize("clustered", [False, True])
+def test_nothing_near_is_missed(spark, tmp_path, n, clustered):
+    group = n // 3 if clustered else 0
+    v, ids = drawn(n, n + group, group=group, spread=0.1)
+    assert recall(spark, tmp_path, v, ids) == 1
+
+
+def test_equal_scores_of_many_blocks_go_by_id(spark, tmp_path):
+    v, ids = drawn(17000, 7, group=6000)
+    path = f"{tmp_path}/vectors.parquet"
+    pq.write_table(pa.table({"vec_id": ids, "embedding": list(v)}), path)
+    query = ids[0]
+    got = found(nearest(spark.read.parquet(path), f"vec_id = {query}"))
+    assert [j for j, _ in got[query]] == sorted(set(ids[:6000]) - {query})[:20]
