@@ -26,7 +26,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     n_chars is counted anew where lines are cut out.
     """
-    cut = without_repeated_lines(docs)
+    cut = without_repeated_lines(docs, tails=True)
     cut = cut.where("NOT (size(removed) > 0 AND text RLIKE '^[ \\\\t\\\\n]*$')")
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.when(F.size("removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))

@@ -8,6 +8,9 @@ outside that run, so two documents that share a run of ``sure_words`` words are
 Joining the positions of fingerprints finds the documents that share any. In those, matches are extended both ways, gram by gram: a
 line goes if it lies in a gram whose first place (smallest doc_id, then line) is another one. Each place is compared with the
 first place of its gram only, never with all others, and first places come from a grouping that aggregates before it shuffles.
+
+With ``tails`` the shortest run with ``gram_words`` words that ends at each line is a gram too (unless it is one already), so that the last lines of
+a passage inside a longer text go as the first ones do.
 """
 
 from __future__ import annotations
@@ -50,22 +53,36 @@ def _pieces() -> Column:
     return F.when(F.contains(text, F.lit(MARK)), F.split(text, CUT, -1)).otherwise(F.split(marked, MARK, -1))
 
 
-def _with_runs(docs: DataFrame, gram_words: int) -> DataFrame:
-    """The rows with _pieces (the text in parts), words (of each line) and short (lines to a gram)."""
+def _with_runs(docs: DataFrame, gram_words: int, tails: bool) -> DataFrame:
+    """The rows with _pieces (the text in parts), words (of each line), short (lines to a gram), starts (how many places have a gram) and tails (first and last line of each further gram)."""
     pieces = docs.withColumn("_pieces", _pieces())
     lines = pieces.withColumn("_lines", F.transform("_pieces", lambda p: F.btrim(p, F.lit(" \t\n"))))
     words = lines.withColumn("words", F.expr("transform(_lines, p -> octet_length(p) - octet_length(replace(p, ' ', '')) + 1)"))
-    return words.withColumn("short", _run_lengths(gram_words))
+    runs = words.withColumn("short", _run_lengths(gram_words))
+    # the places with a gram are the first ones
+    runs = runs.withColumn("starts", F.expr("size(filter(short, n -> n > 0))"))
+    return runs.withColumn("tails", F.expr(_TAILS if tails else _LAST))
+
+
+# A gram from the last place with one to the text's end, which holds all lines from there on.
+_LAST = """
+if(starts > 0 AND starts + get(short, starts - 1) <= size(short), array(named_struct('a', starts, 'b', size(short))), cast(array() AS array<struct<a: int, b: int>>))
+"""
+
+# The shortest gram that ends at a line begins at the last place whose gram ends there or before. Where it ends there, the two are one.
+_TAILS = """
+if(starts = 0, cast(array() AS array<struct<a: int, b: int>>), flatten(transform(sequence(1, starts), i -> transform(
+    slice(sequence(1, size(short)), i + short[i - 1], greatest(0, if(i < starts, i + get(short, i), size(short) + 1) - i - short[i - 1])),
+    j -> named_struct('a', i, 'b', j)))))
+"""
 
 
-def fingerprinted(docs: DataFrame, gram_words: int, sure_words: int) -> DataFrame:
-    """id, version, grams (hash of the gram from each line on), prints (hashes of the fingerprints), again (places of grams that the document had before)."""
+def fingerprinted(docs: DataFrame, gram_words: int, sure_words: int, tails: bool = False) -> DataFrame:
+    """id, version, grams (hash of the gram from each line on, then of the further ones), prints (hashes of the fingerprints), again (places of grams that the document had before)."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    runs = _with_runs(_with_version(texts.where("id IS NOT NULL AND text RLIKE '[^ \\\\t\\\\n]'")), gram_words)
+    runs = _with_runs(_with_version(texts.where("id IS NOT NULL AND text RLIKE '[^ \\\\t\\\\n]'")), gram_words, tails)
     grams = runs.withColumn("long", _run_lengths(sure_words)).withColumn("hashes", F.transform("_lines", lambda p: F.xxhash64(p)))
-    # the places with a gram are the first ones; one gram more holds the lines from the last of them to the text's end
     # (an array that a lambda reads must be named twice, or the optimizer moves its making into the lambda)
-    grams = grams.withColumn("starts", F.expr("size(filter(short, n -> n > 0))"))
     grams = grams.withColumn("grams", F.expr(_GRAMS))
     sorted_ = "if(size(array_distinct(grams)) < size(grams), array_sort(transform(grams, (g, i) -> named_struct('hash', g, 'at', i + 1))), NULL)"
     # (no filter on any of these arrays: it would be pushed below and make them again in its own lambdas)
@@ -75,7 +92,7 @@ def fingerprinted(docs: DataFrame, gram_words: int, sure_words: int) -> DataFram
 
 _GRAMS = """
 concat(transform(filter(sequence(1, size(hashes)), i -> i <= starts), i -> xxhash64(slice(hashes, i, short[i - 1]))),
-       if(starts > 0 AND starts + get(short, starts - 1) <= size(hashes), array(xxhash64(slice(hashes, starts, size(hashes)))), array()))
+       transform(tails, t -> xxhash64(slice(hashes, t.a, t.b - t.a + 1))))
 """
 
 # For each place with a sure run the smallest gram inside it; all grams of a shorter document are one choice.
@@ -92,9 +109,9 @@ if(sorted IS NULL, cast(array() AS array<int>), filter(transform(
 """
 
 
-def repeated_places(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_words: int = SURE_WORDS) -> DataFrame:
+def repeated_places(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_words: int = SURE_WORDS, tails: bool = False) -> DataFrame:
     """id, version, places (from 1) of the grams that an earlier place has, for the documents that have any."""
-    printed = stored(fingerprinted(docs, gram_words, sure_words), "fingerprints")
+    printed = stored(fingerprinted(docs, gram_words, sure_words, tails), "fingerprints")
     prints = printed.select("id", F.explode("prints").alias("hash"))
     touched = prints.join(_first_ids(prints).select("hash"), "hash").select("id").distinct()
     shared = stored(printed.select("id", "version", "grams").join(touched, "id", "left_semi"), "shared")
@@ -110,12 +127,13 @@ def _first_ids(grams: DataFrame) -> DataFrame:
     return ids.where("first < last").select("hash", "first")
 
 
-def without_repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_words: int = SURE_WORDS) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_words: int = SURE_WORDS, tails: bool = False) -> DataFrame:
     """All rows and columns of ``docs`` (doc_id, text), text without later repeated runs of lines, with n_lines and removed (places from 0).
 
     Lines end after line breaks and after a sentence's end (. ! ?) and a space; they are compared without outer spaces, tabs and
     breaks. Words of a line: its spaces plus one. A gram (``gram_words`` words) that an earlier place has goes if the document shares
-    a fingerprint with another one, which is sure for a common run of ``sure_words`` words, or has the gram twice itself.
+    a fingerprint with another one, which is sure for a common run of ``sure_words`` words, or has the gram twice itself. Without ``tails``,
+    up to ``gram_words`` - 1 words at the end of a repeated passage inside a longer text stay.
     Earlier: smaller doc_id, then smaller place, so the first one stays. Other texts stay as
     they are, to the byte. A missing text stays missing, an empty one empty (n_lines 0). Rows that share a doc_id are no
     repeats of each other. Rows without doc_id lose nothing and are no source. Columns named n_lines or
@@ -123,13 +141,14 @@ def without_repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_w
     """
     names = [c for c in docs.columns if c not in ("n_lines", "removed", "text")]
     keyed = _with_version(docs.select(*names, "text")).withColumn("_id", F.col("doc_id").cast("bigint"))
-    places = repeated_places(docs.select("doc_id", "text"), gram_words, sure_words)
+    places = repeated_places(docs.select("doc_id", "text"), gram_words, sure_words, tails)
     places = places.select(F.col("id").alias("_id"), F.col("version").alias("_version"), F.col("places").alias("_places"))
     joined = keyed.join(places, ["_id", "_version"], "left")
     # grams only where some go
     cut = joined.withColumn("_pieces", _pieces())
-    own = _with_runs(joined.where("_places IS NOT NULL"), gram_words).withColumn("starts", F.expr("size(filter(short, n -> n > 0))"))
-    own = own.withColumn("removed", F.expr("array_sort(array_distinct(flatten(transform(filter(_places, i -> i <= size(short) + 1), i -> if(i <= starts, sequence(i - 1, i + short[i - 1] - 2), sequence(starts - 1, size(short) - 1))))))"))
+    own = _with_runs(joined.where("_places IS NOT NULL"), gram_words, tails)
+    ranges = "if(i <= starts, sequence(i - 1, i + short[i - 1] - 2), sequence(tails[i - starts - 1].a - 1, tails[i - starts - 1].b - 1))"
+    own = own.withColumn("removed", F.expr(f"array_sort(array_distinct(flatten(transform(filter(_places, i -> i <= starts + size(tails)), i -> {ranges}))))"))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(_pieces) - 1), removed), i -> _pieces[i]), '')")
     # (out of an array of one: a filter on these columns then stays above their making)
     made = F.struct(kept.alias("text"), F.size("_pieces").cast("bigint").alias("n_lines"), "removed")
@@ -145,6 +164,6 @@ def without_repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_w
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return without_repeated_lines(docs).select(
+    return without_repeated_lines(docs, tails=True).select(
         "doc_id", "n_lines", F.size("removed").cast("bigint").alias("n_removed"), "removed", F.sha2("text", 256).alias("text_sha256")
     )

@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from meterflow.llm.winnow import without_repeated_lines
+from meterflow.llm.winnow import op2_line_dedup, without_repeated_lines
 
 SCHEMA = "doc_id bigint, text string"
 CUT = re.compile(r"(?<=\n)|(?<=[.!?] )")
@@ -103,3 +103,45 @@ def test_odd_rows(spark):
     twice = without_repeated_lines(spark.createDataFrame([(4, long), (4, long), (None, long), (None, long), (9, long)], SCHEMA)).collect()
     assert sorted((r.doc_id or 0, r.text) for r in twice) == [(0, long), (0, long), (4, long), (4, long), (9, "")]
     assert without_repeated_lines(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def backward(rows, gram_words=20):
+    """Lines in a shortest run with ``gram_words`` words up to a line, whose lines an earlier place has."""
+    seen, gone = set(), {}
+    for i, text in sorted(rows):
+        lines = [(p.strip(" \t\n"), p.strip(" \t\n").count(" ") + 1) for p in CUT.split(text)]
+        gone[i] = set()
+        for b in range(len(lines)):
+            if (n := gram(lines[b::-1], 0, gram_words)) is not None:
+                key = tuple(x for x, _ in lines[b - n + 1 : b + 1])
+                if key in seen:
+                    gone[i].update(range(b - n + 1, b + 1))
+                seen.add(key)
+    return gone
+
+
+def test_tails_of_passages_go(spark, tmp_path):
+    rng = random.Random(8)
+    def sentences(n, least=3, most=14):
+        return [" ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randint(least, most))) + ". " for _ in range(n)]
+    passage = sentences(8, 7, 9)
+    rows = [(i, "".join(sentences(rng.randint(0, 5)) + passage + sentences(rng.randint(1, 5)))) for i in range(30)]
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame(rows, SCHEMA).write.parquet(path)
+    got = {r.doc_id: set(r.removed) for r in op2_line_dedup(spark, str(tmp_path)).collect()}
+    for i, text in rows[1:]:
+        pieces = CUT.split(text)
+        assert got[i] == {k for k, p in enumerate(pieces) if p in passage}
+    assert got[0] == set()
+
+
+def test_tails_against_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    rows = [(i, t) for i, t in rows if i is not None and t and t.strip()]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plain = {r.doc_id: set(r.removed) for r in without_repeated_lines(df).collect()}
+    got = {r.doc_id: set(r.removed) for r in without_repeated_lines(df, tails=True).collect()}
+    may, tails = brute_force(rows, 20, 40)[1], backward(rows)
+    assert all(plain[i] <= got[i] <= may[i] | tails[i] for i in got)
+    assert all(tails[i] <= got[i] for i in got if plain[i])
+    assert sum(map(len, got.values())) > sum(map(len, plain.values()))
