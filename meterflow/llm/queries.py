@@ -31,7 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
-    "op4_decontaminate": op4_decontaminate,
     "op5_url_lists": OP5_SQL,
     "op6_warc": OP6_SQL,
 }

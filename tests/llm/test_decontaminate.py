@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from meterflow.llm.decontaminate import align, contaminated, without_contaminated
+from meterflow.llm.queries import ORACLE, QUERIES
 
 
 def plain(a, b):
@@ -72,3 +73,30 @@ def test_odd_rows(spark):
     assert sorted(r.doc_id for r in without_contaminated(docs, benchmark).collect()) == [1, 2, 5]
     assert contaminated(docs, benchmark.limit(0)).collect() == [] and contaminated(docs.limit(0), benchmark).collect() == []
     assert without_contaminated(docs, benchmark.limit(0)).count() == 7
+
+
+def test_query_against_plain_alignment(spark, tmp_path):
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(15, 40)))) for i in range(6)]
+    docs = []
+    for d in range(30):
+        words = rng.choices(vocabulary, k=rng.randint(0, 80))
+        if d % 2:
+            at = rng.randint(0, len(words))
+            words[at:at] = edited(rng, items[d % 6][1].split(), rng.choice([0, 0.1]))
+        docs.append((d, " ".join(words)))
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = {}
+    for d, text in docs:
+        for i, item in items:
+            score = plain(item.split(), text.split()) / (2 * len(item.split()))
+            if score >= 0.5:
+                want[d, i] = score
+    assert len(want) >= 15
+    assert {(r.doc_id, r.item_id): r.score for r in QUERIES["op4_decontaminate"](spark, str(tmp_path)).collect()} == want
+
+
+def test_oracles_are_sql():
+    assert all(isinstance(sql, str) for sql in ORACLE.values())
