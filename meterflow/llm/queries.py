@@ -10,6 +10,7 @@ from meterflow.llm.bytebpe import op10_byte_bpe
 from meterflow.llm.decontaminate import op4_decontaminate
 from meterflow.llm.hilbert import op9_hilbert
 from meterflow.llm.importance import op1_importance
+from meterflow.llm.licenses import OP11_SQL, op11_licenses
 from meterflow.llm.minhash import op3_minhash
 from meterflow.llm.permindex import op8_permutation_index
 from meterflow.llm.toxicity import op7_toxicity
@@ -28,9 +29,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_permutation_index": op8_permutation_index,
     "op9_hilbert": op9_hilbert,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_licenses": op11_licenses,
 }
 
 ORACLE: dict[str, str] = {
     "op5_url_lists": OP5_SQL,
     "op6_warc": OP6_SQL,
+    "op11_licenses": OP11_SQL,
 }
