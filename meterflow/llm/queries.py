@@ -13,6 +13,7 @@ from meterflow.llm.importance import op1_importance
 from meterflow.llm.licenses import OP11_SQL, op11_licenses
 from meterflow.llm.minhash import op3_minhash
 from meterflow.llm.permindex import op8_permutation_index
+from meterflow.llm.phrases import OP12_SQL, op12_phrases
 from meterflow.llm.toxicity import op7_toxicity
 from meterflow.llm.url_lists import OP5_SQL, op5_url_lists
 from meterflow.llm.warc import OP6_SQL, op6_warc
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hilbert": op9_hilbert,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_licenses": op11_licenses,
+    "op12_phrases": op12_phrases,
 }
 
 ORACLE: dict[str, str] = {
     "op5_url_lists": OP5_SQL,
     "op6_warc": OP6_SQL,
     "op11_licenses": OP11_SQL,
+    "op12_phrases": OP12_SQL,
 }

@@ -79,9 +79,10 @@ class Words:
         return mix(out), at
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, letters_only: bool = False) -> Words:
-    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``; a word ends at white space, or at all ASCII but letters and digits."""
+def words_of(data: np.ndarray, offsets: np.ndarray, letters_only: bool = False, parting: np.ndarray | None = None) -> Words:
+    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``; a word ends at white space, or at all ASCII but letters and digits, or at the bytes that ``parting`` marks."""
     values, parts = byte_values(letters_only)
+    parts = parts if parting is None else parting
     data = data[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
     n = len(data)
