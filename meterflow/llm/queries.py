@@ -14,6 +14,7 @@ from meterflow.llm.licenses import OP11_SQL, op11_licenses
 from meterflow.llm.minhash import op3_minhash
 from meterflow.llm.permindex import op8_permutation_index
 from meterflow.llm.phrases import OP12_SQL, op12_phrases
+from meterflow.llm.spelling import OP13_SQL, op13_spelling
 from meterflow.llm.toxicity import op7_toxicity
 from meterflow.llm.url_lists import OP5_SQL, op5_url_lists
 from meterflow.llm.warc import OP6_SQL, op6_warc
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_licenses": op11_licenses,
     "op12_phrases": op12_phrases,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE: dict[str, str] = {
@@ -39,4 +41,5 @@ ORACLE: dict[str, str] = {
     "op6_warc": OP6_SQL,
     "op11_licenses": OP11_SQL,
     "op12_phrases": OP12_SQL,
+    "op13_spelling": OP13_SQL,
 }
