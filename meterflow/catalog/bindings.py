@@ -75,11 +75,11 @@ def usage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def usage_state(spark: SparkSession, sf_dir: str, until: str = CUT) -> DataFrame:
-    """Usable readings before the batch."""
-    log = usage_log(spark, sf_dir).where(
-        f"end_date < {_ntz(until)} AND terminal_status IN ('normal', 'minor')"
-    )
+def usage_state(spark: SparkSession, sf_dir: str, until: str | None = CUT) -> DataFrame:
+    """Usable readings before the batch, or all of them."""
+    log = usage_log(spark, sf_dir).where("terminal_status IN ('normal', 'minor')")
+    if until is not None:
+        log = log.where(f"end_date < {_ntz(until)}")
     return log.selectExpr("*", f"{_ntz(LOAD_TIME)} AS load_time").select(*COUNTER_STATE.names)
 
 

@@ -10,24 +10,29 @@ from pyspark.sql import functions as F
 
 from meterflow.catalog import bindings as b
 from meterflow.functions.expr import ntz
-from meterflow.operators import changes, rollup
+from meterflow.operators import changes, rollup, summaries
 from meterflow.plans import sessions, telemetry, usage
 from meterflow.schemas import (
     COUNTER_STATE,
+    ETL_DAY,
     FILE_STATUS,
+    METER_LOG,
     METER_RECORD,
     PROCESS_SNAPSHOT,
     SESSION_ANALYSIS_COLUMNS,
     SESSION_HISTORY,
     SESSION_STAGE,
+    SNAPSHOT,
     USAGE_RESULT,
 )
 from meterflow.session import scratch_dir
 from meterflow.sources import meter_files, snapshots, tables
+from meterflow.sources.versions import VersionedTables
 from meterflow.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+REPLAY_FROM = dt.date(2024, 1, 25)
 
 
 def query(fn: Query) -> Query:
@@ -45,13 +50,13 @@ def usage_increment(spark, d):
 
 @query
 def usage_lag(spark, d):
-    batch = b.usage_batch(spark, d).where(F.col("terminal_status").isin("normal", "minor"))
-    return usage.with_lags(batch).select("id", "subscriber_number", *usage.LAGS)
+    rows = b.usage_log(spark, d).where(F.col("terminal_status").isin("normal", "minor"))
+    return usage.with_lags(rows).select("id", "subscriber_number", *usage.LAGS)
 
 
 @query
 def latest_state(spark, d):
-    return usage.latest_state(b.usage_state(spark, d))
+    return usage.latest_state(b.usage_state(spark, d, until=None))
 
 
 @query
@@ -97,18 +102,18 @@ def usage_pipeline_state(spark, d):
 def _replayed(spark, d):
     log = b.full_log(spark, d).withColumn("summary_flag", F.when(
         F.col("terminal_status").isin("normal", "minor"), 1).otherwise(-1))
-    state = b.usage_state(spark, d, until="2024-02-01 00:00:00")
-    return usage.reset_and_replay(log, state, dt.date(2024, 1, 25), retain_days=20)
+    state = b.usage_state(spark, d, until=None)
+    return log, *usage.reset_and_replay(log, state, REPLAY_FROM, retain_days=20)
 
 
 @query
 def usage_replay(spark, d):
-    return _replayed(spark, d)[0]
+    return _replayed(spark, d)[1]
 
 
 @query
 def usage_replay_state(spark, d):
-    return _replayed(spark, d)[1]
+    return _replayed(spark, d)[2]
 
 
 @query
@@ -139,12 +144,34 @@ def state_upsert(spark, d):
 
 @query
 def state_retention(spark, d):
-    return changes.retain(b.usage_state(spark, d), ntz("2024-02-14 00:00:00"), days=40)
+    return changes.retain(b.usage_state(spark, d, until=None), ntz("2024-02-14 00:00:00"), days=40)
 
 
 @query
 def state_rewind(spark, d):
-    return changes.rewind(b.usage_state(spark, d), ntz("2024-01-10 00:00:00"))
+    return changes.rewind(b.usage_state(spark, d, until=None), ntz("2024-01-10 00:00:00"))
+
+
+def _state_by_day(spark, d) -> VersionedTables:
+    store = VersionedTables(spark, scratch_dir(spark, "state"))
+    state = usage.with_day(b.usage_state(spark, d, until=None))
+    store.publish(0, append={"state": state.repartition(usage.DAY)}, by={"state": usage.DAY})
+    return store
+
+
+@query
+def state_retention_by_day(spark, d):
+    """Days before the boundary go as a whole; only the day of the boundary is written anew."""
+    store = _state_by_day(spark, d)
+    store.trim("state", usage.STATE_BY_DAY, usage.DAY, "end_date", above=dt.datetime(2024, 2, 14, 12) - dt.timedelta(days=usage.RETAIN_DAYS))
+    return store.read("state", COUNTER_STATE)
+
+
+@query
+def state_rewind_by_day(spark, d):
+    store = _state_by_day(spark, d)
+    store.trim("state", usage.STATE_BY_DAY, usage.DAY, "end_date", below=dt.datetime(2024, 1, 10))
+    return store.read("state", COUNTER_STATE)
 
 
 @query
@@ -158,6 +185,19 @@ def daily_usage(spark, d):
     return rollup.daily_usage(log).withColumn("day", F.col("day").cast("string"))
 
 
+@query
+def daily_usage_maintained(spark, d):
+    """A first run adds its rows; a replay subtracts what the replayed days had and adds what they have now."""
+    before, after, _ = _replayed(spark, d)
+    since = ntz(f"{REPLAY_FROM} 00:00:00")
+    store = VersionedTables(spark, scratch_dir(spark, "daily"))
+    store.publish(0, append={"daily": summaries.change(summaries.DAILY, before)})
+    touched = [rows.where(F.col("end_date") >= since) for rows in (after, before)]
+    store.publish(1, append={"daily": summaries.change(summaries.DAILY, *touched)})
+    daily = summaries.current(summaries.DAILY, store.read("daily", summaries.DAILY.schema(METER_LOG)))
+    return daily.withColumn("day", F.col("day").cast("string"))
+
+
 def _flagged(spark, d):
     log = b.usage_log(spark, d)
     records = log.withColumn("state", F.when(F.col("id") % 7 != 0, F.col("id") % 3))
@@ -254,6 +294,19 @@ def snapshot_window_read(spark, d):
     return snapshots.snapshot_window(orders, "1997-01-01 00:00:00", "1999-01-01 00:00:00")
 
 
+@query
+def snapshot_interval_read(spark, d):
+    """Three captured snapshots, laid out by day; the interval is one of them."""
+    store = VersionedTables(spark, scratch_dir(spark, "captured"))
+    second = b.session_snapshot(spark, d)
+    third = snapshots.stamp_snapshot(second, "2024-01-02 02:00:00", "2024-01-02 02:00:00")
+    for n, snapshot in enumerate((b.first_snapshot(spark, d), second, third)):
+        rows = snapshots.with_etl_day(snapshot.select(*SESSION_STAGE.names))
+        store.publish(n, append={"snapshots": rows}, by={"snapshots": ETL_DAY})
+    found = snapshots.snapshot_window(store.read("snapshots", SNAPSHOT), "2024-01-01 00:00:00", "2024-01-01 02:00:00")
+    return found.select("acctuniqueid", "username", "acctstarttime", "acctinputoctets", "acctoutputoctets", "etl_date")
+
+
 def _stage(spark, d):
     return sessions.session_stage(b.session_snapshot(spark, d))
 
@@ -391,13 +444,13 @@ def _meter_folder(lines, folder: str) -> None:
         fs.rename(found.getPath(), path(f"{folder}/in/{name}"))
 
 
-def _ingested(spark, d) -> tables.VersionedTables:
+def _ingested(spark, d) -> VersionedTables:
     """The meter lines, written out as one file per hour, through the ingest stream."""
     folder = scratch_dir(spark, "ingest")
     _meter_folder(b.meter_lines(spark, d).where(F.col("value").isNotNull()), folder)
     run = jobs.ingest_files(spark, f"{folder}/in", f"{folder}/tables", f"{folder}/checkpoint", b.TZ, "meter")
     run.awaitTermination()
-    return tables.VersionedTables(spark, f"{folder}/tables")
+    return VersionedTables(spark, f"{folder}/tables")
 
 
 @query
@@ -414,7 +467,7 @@ def udr_stream_status(spark, d):
 def usage_stream(spark, d):
     """The batch in four runs of the usage stream, each starting from the state of the one before."""
     folder = scratch_dir(spark, "usage")
-    store = tables.VersionedTables(spark, f"{folder}/tables")
+    store = VersionedTables(spark, f"{folder}/tables")
     batch = b.usage_batch(spark, d).select(*usage.READ_COLUMNS)
     cuts = [None, ntz("2024-01-20 00:00:00"), ntz("2024-01-24 00:00:00"), ntz("2024-01-28 00:00:00"), None]
     for start, end in zip(cuts, cuts[1:]):
@@ -429,7 +482,7 @@ def usage_stream(spark, d):
 
 def _session_stream(spark, d, together: bool):
     folder = scratch_dir(spark, "sessions")
-    store = tables.VersionedTables(spark, f"{folder}/tables")
+    store = VersionedTables(spark, f"{folder}/tables")
     for snapshot in (b.first_snapshot(spark, d), b.session_snapshot(spark, d)):
         tables.write_parquet(snapshot.select(*SESSION_STAGE.names), f"{folder}/in")
         if not together:
@@ -449,3 +502,28 @@ def session_stream(spark, d):
 def session_stream_backlog(spark, d):
     """The same snapshots found by one run: each is an interval of its own all the same."""
     return _session_stream(spark, d, together=True)
+
+
+def _chain(spark, d) -> dict[str, VersionedTables]:
+    """Two snapshots, captured one after the other; each time the jobs behind follow what was committed."""
+    folder = scratch_dir(spark, "chain")
+    captured, changed, summed = (f"{folder}/{job}" for job in ("captured", "changed", "summed"))
+    for snapshot in (b.first_snapshot(spark, d), b.session_snapshot(spark, d)):
+        tables.write_parquet(snapshot.select(*SESSION_STAGE.names), f"{folder}/in")
+        jobs.capture_snapshots(spark, f"{folder}/in", captured, f"{folder}/checkpoint").awaitTermination()
+        jobs.changes_from_capture(spark, captured, changed)
+        jobs.usage_from_changes(spark, changed, summed, compact_every=2)
+    return {job: VersionedTables(spark, f"{folder}/{job}") for job in ("captured", "changed", "summed")}
+
+
+@query
+def session_chain(spark, d):
+    """Octets per user at the end of the chain: capture, changes, sums."""
+    schema = summaries.SESSIONS.schema(SESSION_HISTORY)
+    return summaries.current(summaries.SESSIONS, _chain(spark, d)["summed"].read("user_sums", schema))
+
+
+@query
+def session_chain_changes(spark, d):
+    """The changes in the middle of the chain."""
+    return _chain(spark, d)["changed"].read("analysis", SESSION_HISTORY).select(*SESSION_ANALYSIS_COLUMNS)

@@ -6,11 +6,12 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterflow.functions.expr import is_not_anomaly, ntz, trunc_seconds
 from meterflow.operators.changes import flag_reset, retain, rewind, upsert
 from meterflow.operators.skew import KeyChunks, lag_by_key, latest_by, plan_chunks
-from meterflow.schemas import USAGE_RESULT
+from meterflow.schemas import COUNTER_STATE, USAGE_RESULT
 from meterflow.sources.meter_files import USABLE
 
 ALLOWED_RATE = 100
@@ -18,6 +19,9 @@ HORIZON_DAYS = 31
 RETAIN_DAYS = 40
 STATE_KEYS = ["subscriber_number", "end_date"]
 COUNTERS = ("overall_usage_anytime", "overall_usage_offpeak", "overall_available_tokens")
+# state and log are laid out by the day of the poll
+DAY = "end_day"
+STATE_BY_DAY = T.StructType([*COUNTER_STATE.fields, T.StructField(DAY, T.DateType())])
 READ_COLUMNS = ("id", "clock", "subscriber_number", *COUNTERS, "end_date", "terminal_status")
 LAGS = {
     "lag_clock": "clock",
@@ -27,6 +31,10 @@ LAGS = {
 }
 
 
+def with_day(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(DAY, F.to_date("end_date"))
+
+
 # --- reading ---------------------------------------------------------------------------
 
 
@@ -50,8 +58,8 @@ def oldest(df: DataFrame, cap: int) -> DataFrame:
     hours = df.where("end_date IS NOT NULL").groupBy(hour).agg(F.count(F.lit(1)).alias("n"))
     so_far = F.sum("n").over(Window.orderBy("hour"))
     reached = hours.withColumn("so_far", so_far).where(F.col("so_far") >= cap)
-    until = reached.agg(F.min("hour") + F.expr("INTERVAL '1' HOUR")).scalar()
-    near = df.where(until.isNull() | (F.col("end_date") < until))
+    until = reached.agg((F.min("hour") + F.expr("INTERVAL '1' HOUR")).alias("until")).first()["until"]
+    near = df if until is None else df.where(F.col("end_date") < ntz(str(until)))
     return near.orderBy(F.asc_nulls_last("end_date"), F.asc_nulls_last("id")).limit(cap)
 
 

@@ -106,6 +106,10 @@ SESSION_STAGE = _schema({
     "etl_date": TS,
 })
 
+# Snapshots as they are kept: laid out by the day of their interval.
+ETL_DAY = "etl_day"
+SNAPSHOT = T.StructType([*SESSION_STAGE.fields, T.StructField(ETL_DAY, T.DateType())])
+
 # Every version of every session seen so far.
 SESSION_HISTORY = _schema({
     "acctsessionid": STR,

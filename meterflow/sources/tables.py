@@ -1,12 +1,10 @@
-"""Table formats: CSV, parquet and database tables, and versioned folders of parquet."""
+"""Table formats: CSV, parquet and database tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from meterflow.session import small_table
-
 PARQUET_OPTIONS = {"compression": "zstd"}
 
 
@@ -53,88 +51,3 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
     df.coalesce(parts).write.mode("append").format("jdbc").options(**properties).option(
         "url", url
     ).option("dbtable", table).save()
-
-
-class VersionedTables:
-    """Parquet tables that change together.
-
-    Every batch writes its own folder per table, then one commit file. Readers see
-    committed batches only, so a lost executor, a failed batch or a repeated one never
-    shows half a result, and nothing is overwritten while it is read. A table holds the
-    rows of all its batches since the last one that replaced it.
-
-        <root>/<table>/batch=<n>/...            rows
-        <root>/_commits/<n>_<stream>_<number>   all folders of all tables, "<table> <n>" per line
-
-    A commit lists the whole state, so a reader opens the newest one only. Its name holds the stream that wrote
-    it and that stream's own batch number: a stream's batch is stored once, while another stream, or a new
-    checkpoint with numbers from 0, goes on after the last commit.
-    """
-
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def _fs(self, path: str):
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
-
-    def commits(self) -> list[tuple[int, str, int]]:
-        """(commit, stream, batch number of the stream) of all commits, oldest first, from their names."""
-        fs, path = self._fs(f"{self.root}/_commits")
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        parts = [n.split("_") for n in names if n[0].isdigit()]
-        return sorted((int(n), stream, int(batch)) for n, stream, batch in parts)
-
-    def batches(self) -> list[int]:
-        return [n for n, _, _ in self.commits()]
-
-    def _manifest(self, commits: list[tuple[int, str, int]]) -> list[tuple[str, int]]:
-        if not commits:
-            return []
-        n, stream, batch = commits[-1]
-        fs, path = self._fs(f"{self.root}/_commits/{n}_{stream}_{batch}")
-        file = fs.open(path)
-        try:
-            data = bytes(file.readAllBytes()).decode()
-        finally:
-            file.close()
-        return [(table, int(k)) for table, k in (line.split() for line in data.splitlines())]
-
-    def folders(self, table: str) -> list[str]:
-        """Batch folders that make up the table, oldest first."""
-        return [f"{self.root}/{t}/batch={n}" for t, n in self._manifest(self.commits()) if t == table]
-
-    def read(self, table: str, schema: T.StructType) -> DataFrame:
-        """The committed rows; an empty table before the first batch."""
-        folders = self.folders(table)
-        if not folders:
-            return small_table(self.spark, [], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
-
-    def publish(
-        self,
-        batch: int,
-        append: dict[str, DataFrame] | None = None,
-        replace: dict[str, DataFrame] | None = None,
-        stream: str = "batch",
-    ) -> bool:
-        """Write tables as one batch of a stream. A batch that the stream has stored already is left alone."""
-        commits = self.commits()
-        if any(s == stream and k >= batch for _, s, k in commits):
-            return False
-        n = commits[-1][0] + 1 if commits else 0
-        manifest = [(t, k) for t, k in self._manifest(commits) if t not in (replace or {})]
-        for table, df in {**(append or {}), **(replace or {})}.items():
-            write_parquet(df, f"{self.root}/{table}/batch={n}", mode="overwrite")
-            manifest.append((table, n))
-        fs, part = self._fs(f"{self.root}/_commits/.{n}.tmp")
-        out = fs.create(part, True)
-        out.write(bytearray("\n".join(f"{t} {k}" for t, k in manifest).encode()))
-        out.close()
-        _, done = self._fs(f"{self.root}/_commits/{n}_{stream}_{batch}")
-        if not fs.rename(part, done):
-            raise RuntimeError(f"batch {batch} could not be committed")
-        return True

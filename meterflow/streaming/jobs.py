@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +18,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from meterflow.functions.expr import ntz
+from meterflow.operators import summaries
 from meterflow.operators.changes import insertable, retain
 from meterflow.plans.sessions import analysis_view, changes_delta, session_stage
 from meterflow.plans.usage import RETAIN_DAYS, next_state, usage_increments
-from meterflow.schemas import COUNTER_STATE, METER_RECORD, SESSION_HISTORY, SESSION_STAGE
+from meterflow.schemas import COUNTER_STATE, ETL_DAY, METER_RECORD, SESSION_HISTORY, SESSION_STAGE, SNAPSHOT
 from meterflow.sources.meter_files import (
     USABLE,
     accepted,
@@ -31,8 +32,10 @@ from meterflow.sources.meter_files import (
     quarantined,
     stream_lines,
 )
-from meterflow.sources.tables import VersionedTables
+from meterflow.sources.snapshots import with_etl_day
+from meterflow.sources.versions import Conflict, VersionedTables
 
+MOST_TRIES = 10
 RECORD_KEYS = ["subscriber_number", "clock", "ns"]
 
 
@@ -40,12 +43,22 @@ def _run(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame, int, str
     """Process what is there now, in batches, then stop; run again on the next schedule."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        work(rows, number, _stream_id(rows.sparkSession, checkpoint))
+        _repeated(lambda: work(rows, number, _stream_id(rows.sparkSession, checkpoint)))
 
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
+def _repeated(work: Callable[[], None]) -> None:
+    """Calculate again as long as other writers change the tables meanwhile."""
+    for _ in range(MOST_TRIES - 1):
+        try:
+            return work()
+        except Conflict:
+            pass
+    return work()
+
+
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that a stream has written into its checkpoint before its first batch."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
@@ -81,10 +94,11 @@ def ingest_files(
             status = file_status(classified)
             rows = finished_only(accepted(classified), status)
             # equal keys have equal clocks, so older and newer records cannot conflict
-            near = _same_time(store.read("records", METER_RECORD), rows, "end_date")
+            before = store.state()
+            near = _same_time(store.read("records", METER_RECORD, before), rows, "end_date")
             new = insertable(near, rows, RECORD_KEYS, tie_break=["udr_file_name", "end_date"])
             changes = {"records": new, "quarantine": quarantined(classified), "files": status}
-            store.publish(batch, append=changes, stream=stream)
+            store.publish(batch, append=changes, stream=stream, reads=("records",), since=before)
         finally:
             classified.unpersist()
 
@@ -126,14 +140,16 @@ def usage_from_log(
         store = VersionedTables(session, tables)
         usable = rows.where(F.col("terminal_status").isin(*USABLE)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            state = retain(store.read("state", COUNTER_STATE), ntz(str(as_of)), retain_days)
+            before = store.state()
+            state = retain(store.read("state", COUNTER_STATE, before), ntz(str(as_of)), retain_days)
             increments = usage_increments(usable, state)
-            if len(store.folders("state")) < compact_every:
+            commit = {"stream": stream, "reads": ("state",), "since": before}
+            if len(store.folders("state", before)) < compact_every:
                 readings = usable.withColumn("load_time", ntz(str(as_of))).select(*COUNTER_STATE.names)
-                store.publish(batch, append={"increments": increments, "state": readings}, stream=stream)
+                store.publish(batch, append={"increments": increments, "state": readings}, **commit)
             else:
                 full = next_state(state, usable, as_of)
-                store.publish(batch, append={"increments": increments}, replace={"state": full}, stream=stream)
+                store.publish(batch, append={"increments": increments}, replace={"state": full}, **commit)
         finally:
             usable.unpersist()
 
@@ -148,11 +164,11 @@ def sessions_from_snapshots(
     max_files: int | None = None,
     latest_only: bool = False,
 ) -> StreamingQuery:
-    """New snapshot files into the tables ``history`` and ``analysis``, one commit for each interval (``etl_date``).
+    """New snapshot files into the tables ``history`` and ``analysis``, one commit for each snapshot (``extract_date``, one time for all its rows).
 
     A backlog holds several snapshots; each is compared with the history that the ones before it leave, in the order of
     time. The history grows by the changes only; it is never rewritten. Where a limit of files cuts a snapshot, its
-    rest is an interval of the next batch.
+    rest is a snapshot of the next batch.
     """
     reader = spark.readStream.schema(SESSION_STAGE)
     if max_files:
@@ -160,19 +176,90 @@ def sessions_from_snapshots(
 
     def work(rows: DataFrame, batch: int, stream: str) -> None:
         store = VersionedTables(rows.sparkSession, tables)
-        # the driver gets a row per hour of backlog
-        times = [r["extract_date"] for r in rows.select("extract_date").distinct().collect()]
-        for place, time in enumerate(sorted(times, key=lambda t: (t is None, t or dt.datetime.min))):
-            part = rows.where(F.col("extract_date").eqNullSafe(F.lit(None) if time is None else ntz(str(time))))
-            stage = session_stage(part).persist(StorageLevel.MEMORY_AND_DISK)
-            history = store.read("history", SESSION_HISTORY)
-            delta = changes_delta(stage, history, latest_only).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                ordered = delta.drop("new_ind").sortWithinPartitions("username", "acctstarttime", "extract_date")
-                changes = {"history": ordered, "analysis": analysis_view(delta)}
-                store.publish(batch, append=changes, stream=f"{stream}-{place}")
-            finally:
-                delta.unpersist()
-                stage.unpersist()
+        for place, part in enumerate(_snapshots(rows)):
+            _add_changes(store, part, batch, f"{stream}-{place}", latest_only)
 
     return _run(reader.parquet(folder), checkpoint, work)
+
+
+def _snapshots(rows: DataFrame) -> Iterator[DataFrame]:
+    """Each snapshot among the rows, oldest first, one without a time at the end. The driver gets a time for each snapshot, not for each row."""
+    times = [r["extract_date"] for r in rows.select("extract_date").distinct().collect()]
+    for time in sorted(times, key=lambda t: (t is None, t or dt.datetime.min)):
+        yield rows.where(F.col("extract_date").eqNullSafe(F.lit(None) if time is None else ntz(str(time))))
+
+
+def _add_changes(
+    store: VersionedTables, snapshot: DataFrame, batch: int, stream: str, latest_only: bool, offsets: dict[str, int] | None = None
+) -> None:
+    """A snapshot's changes into ``history`` and ``analysis``."""
+    before = store.state()
+    stage = session_stage(snapshot).persist(StorageLevel.MEMORY_AND_DISK)
+    delta = changes_delta(stage, store.read("history", SESSION_HISTORY, before), latest_only).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ordered = delta.drop("new_ind").sortWithinPartitions("username", "acctstarttime", "extract_date")
+        changes = {"history": ordered, "analysis": analysis_view(delta)}
+        store.publish(batch, append=changes, stream=stream, offsets=offsets, reads=("history",), since=before)
+    finally:
+        delta.unpersist()
+        stage.unpersist()
+
+
+# --- jobs that follow other jobs -----------------------------------------------------------
+
+
+def follow(upstream: VersionedTables, downstream: VersionedTables, name: str, work: Callable[[int, dict[str, int]], None]) -> int:
+    """Call ``work`` for each commit of ``upstream`` that ``downstream`` does not know yet, oldest first; returns how many there were.
+
+    ``work(n, offsets)`` calculates from what commit ``n`` has added and publishes it downstream as batch ``n`` of the stream ``name``, with the offsets. So the downstream commit itself says how far the
+    job has come: one that was killed before its commit is repeated, one that was killed after it is not, and a row that was committed upstream
+    counts downstream exactly once. Commits that only rewrite files are passed over.
+    """
+    done = downstream.state().offsets.get(name, -1)
+    seen = 0
+    for n in range(done + 1, upstream.last() + 1):
+        if not upstream.commit(n).rewrites:
+            _repeated(lambda n=n: work(n, {name: n}))
+            seen += 1
+    return seen
+
+
+def capture_snapshots(spark: SparkSession, folder: str, tables: str, checkpoint: str, max_files: int | None = None) -> StreamingQuery:
+    """New snapshot files into the table ``snapshots``, laid out by the day of their interval, one commit for each snapshot."""
+    reader = spark.readStream.schema(SESSION_STAGE)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+
+    def work(rows: DataFrame, batch: int, stream: str) -> None:
+        store = VersionedTables(rows.sparkSession, tables)
+        for place, part in enumerate(_snapshots(rows)):
+            store.publish(batch, append={"snapshots": with_etl_day(part)}, stream=f"{stream}-{place}", by={"snapshots": ETL_DAY})
+
+    return _run(reader.parquet(folder), checkpoint, work)
+
+
+def changes_from_capture(spark: SparkSession, captured: str, tables: str, latest_only: bool = False, name: str = "changes") -> int:
+    """Snapshots as they are committed into ``history`` and ``analysis``, a commit for a commit."""
+    source, store = VersionedTables(spark, captured), VersionedTables(spark, tables)
+
+    def work(n: int, offsets: dict[str, int]) -> None:
+        snapshot = source.added(n, "snapshots", SNAPSHOT).drop(ETL_DAY)
+        _add_changes(store, snapshot, n, name, latest_only, offsets)
+
+    return follow(source, store, name, work)
+
+
+def usage_from_changes(spark: SparkSession, changed: str, tables: str, compact_every: int = 24, name: str = "usage") -> int:
+    """Changes as they are committed into ``user_sums``: what each commit adds to each user. ``summaries.current`` gives the totals."""
+    source, store = VersionedTables(spark, changed), VersionedTables(spark, tables)
+    schema = summaries.SESSIONS.schema(SESSION_HISTORY)
+
+    def work(n: int, offsets: dict[str, int]) -> None:
+        sums = summaries.change(summaries.SESSIONS, after=source.added(n, "history", SESSION_HISTORY))
+        store.publish(n, append={"user_sums": sums}, stream=name, offsets=offsets)
+
+    seen = follow(source, store, name, work)
+    if seen and len(store.folders("user_sums")) >= compact_every:
+        merged = summaries.merged(summaries.SESSIONS, store.read("user_sums", schema))
+        store.rewrite("user_sums", store.state().parts["user_sums"], merged)
+    return seen

@@ -6,7 +6,8 @@ import pytest
 
 from meterflow.plans import usage
 from meterflow.schemas import COUNTER_STATE, SESSION_HISTORY, SESSION_STAGE, USAGE_RESULT
-from meterflow.sources.tables import VersionedTables, write_parquet
+from meterflow.sources.tables import write_parquet
+from meterflow.sources.versions import VersionedTables
 from meterflow.streaming import jobs
 
 AS_OF = dt.datetime(2024, 1, 31)
