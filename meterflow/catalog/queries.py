@@ -28,7 +28,7 @@ from meterflow.schemas import (
 from meterflow.session import scratch_dir
 from meterflow.sources import meter_files, snapshots, tables
 from meterflow.sources.versions import VersionedTables
-from meterflow.streaming import jobs
+from meterflow.streaming import jobs, readings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -480,6 +480,31 @@ def usage_stream(spark, d):
     return store.read("increments", USAGE_RESULT)
 
 
+@query
+def usage_state_stream(spark, d):
+    """The same four runs, with the readings before them in the stream's state store."""
+    folder = scratch_dir(spark, "readings")
+    batch = b.usage_batch(spark, d).select(*usage.READ_COLUMNS)
+    cuts = [None, ntz("2024-01-20 00:00:00"), ntz("2024-01-24 00:00:00"), ntz("2024-01-28 00:00:00"), None]
+    for start, end in zip(cuts, cuts[1:]):
+        part = batch if start is None else batch.where(F.col("end_date") >= start)
+        part = part if end is None else part.where(F.col("end_date") < end)
+        tables.write_parquet(part, f"{folder}/in")
+        readings.usage_by_state(spark, f"{folder}/in", batch.schema, f"{folder}/tables", f"{folder}/checkpoint").awaitTermination()
+    return VersionedTables(spark, f"{folder}/tables").read("increments", USAGE_RESULT)
+
+
+@query
+def usage_state_late(spark, d):
+    """The newer half of the log comes first; of the older half all that is beyond the horizon is set aside."""
+    folder = scratch_dir(spark, "late")
+    log = b.usage_log(spark, d).select(*usage.READ_COLUMNS)
+    for part in (f"end_date >= timestamp_ntz'{b.CUT}'", f"end_date < timestamp_ntz'{b.CUT}'"):
+        tables.write_parquet(log.where(part), f"{folder}/in")
+        readings.usage_by_state(spark, f"{folder}/in", log.schema, f"{folder}/tables", f"{folder}/checkpoint", horizon_days=20).awaitTermination()
+    return VersionedTables(spark, f"{folder}/tables").read("late", readings.LATE)
+
+
 def _session_stream(spark, d, together: bool):
     folder = scratch_dir(spark, "sessions")
     store = VersionedTables(spark, f"{folder}/tables")

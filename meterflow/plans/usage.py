@@ -187,7 +187,12 @@ def usage_increments(
 ) -> DataFrame:
     """Usage since the previous poll for every usable row."""
     rows = with_previous(batch.select(*READ_COLUMNS), state, statuses, plan)
-    return rows.withColumns(_usage_columns(rate_per_min, statuses)).select(*USAGE_RESULT.names)
+    return usage_from_previous(rows, rate_per_min, statuses).select(*USAGE_RESULT.names)
+
+
+def usage_from_previous(rows: DataFrame, rate_per_min: int = ALLOWED_RATE, statuses: tuple[str, ...] = USABLE) -> DataFrame:
+    """Usage of readings that have the reading before them beside them (``prev_*``)."""
+    return rows.withColumns(_usage_columns(rate_per_min, statuses))
 
 
 def rejects(batch: DataFrame, statuses: tuple[str, ...] = USABLE) -> DataFrame:
@@ -225,7 +230,7 @@ def calculated_rows(
     join of the updates with the log.
     """
     rows = with_previous(batch, state, statuses, plan)
-    rows = rows.withColumns(_usage_columns(rate_per_min, statuses))
+    rows = usage_from_previous(rows, rate_per_min, statuses)
     filled = {
         "usage_anytime": F.col("v_usage_anytime"),
         "usage_offpeak": F.col("v_usage_offpeak"),

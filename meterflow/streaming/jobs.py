@@ -39,13 +39,13 @@ MOST_TRIES = 10
 RECORD_KEYS = ["subscriber_number", "clock", "ns"]
 
 
-def _run(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame, int, str], None]) -> StreamingQuery:
+def run_stream(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame, int, str], None], mode: str = "append") -> StreamingQuery:
     """Process what is there now, in batches, then stop; run again on the next schedule."""
 
     def batch(rows: DataFrame, number: int) -> None:
         _repeated(lambda: work(rows, number, _stream_id(rows.sparkSession, checkpoint)))
 
-    writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(batch).outputMode(mode).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
@@ -102,7 +102,7 @@ def ingest_files(
         finally:
             classified.unpersist()
 
-    return _run(stream_lines(spark, folder, glob, max_files), checkpoint, work)
+    return run_stream(stream_lines(spark, folder, glob, max_files), checkpoint, work)
 
 
 def unique_records(records: DataFrame, delay: str = "31 days") -> DataFrame:
@@ -153,7 +153,7 @@ def usage_from_log(
         finally:
             usable.unpersist()
 
-    return _run(reader.parquet(folder), checkpoint, work)
+    return run_stream(reader.parquet(folder), checkpoint, work)
 
 
 def sessions_from_snapshots(
@@ -179,7 +179,7 @@ def sessions_from_snapshots(
         for place, part in enumerate(_snapshots(rows)):
             _add_changes(store, part, batch, f"{stream}-{place}", latest_only)
 
-    return _run(reader.parquet(folder), checkpoint, work)
+    return run_stream(reader.parquet(folder), checkpoint, work)
 
 
 def _snapshots(rows: DataFrame) -> Iterator[DataFrame]:
@@ -235,7 +235,7 @@ def capture_snapshots(spark: SparkSession, folder: str, tables: str, checkpoint:
         for place, part in enumerate(_snapshots(rows)):
             store.publish(batch, append={"snapshots": with_etl_day(part)}, stream=f"{stream}-{place}", by={"snapshots": ETL_DAY})
 
-    return _run(reader.parquet(folder), checkpoint, work)
+    return run_stream(reader.parquet(folder), checkpoint, work)
 
 
 def changes_from_capture(spark: SparkSession, captured: str, tables: str, latest_only: bool = False, name: str = "changes") -> int:
