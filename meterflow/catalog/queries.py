@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from meterflow.catalog import bindings as b
 from meterflow.functions.expr import ntz
 from meterflow.operators import changes, rollup, summaries
-from meterflow.plans import sessions, telemetry, usage
+from meterflow.plans import repair, sessions, telemetry, usage
 from meterflow.schemas import (
     COUNTER_STATE,
     ETL_DAY,
@@ -116,6 +116,30 @@ def usage_replay_state(spark, d):
     return _replayed(spark, d)[2]
 
 
+def _late(spark, d) -> tuple[VersionedTables, repair.Repair]:
+    """A log that was replayed without every eleventh reading of the last days; these come late."""
+    store = VersionedTables(spark, scratch_dir(spark, "log"))
+    is_late = F.col("id") % 11 == 0
+    usable, again = F.col("terminal_status").isin("normal", "minor"), F.col("end_date") >= ntz(f"{REPLAY_FROM} 00:00:00")
+    log = b.full_log(spark, d).withColumn("summary_flag", F.when(usable, 1).otherwise(-1))
+    state = b.usage_state(spark, d, until=None)
+    done, _ = usage.reset_and_replay(log.where(~(is_late & usable & again)), state, REPLAY_FROM, retain_days=20)
+    late = log.where(is_late & usable & again).withColumn("summary_flag", F.lit(0))
+    rows = usage.with_day(done.unionByName(late))
+    store.publish(0, append={"log": rows.repartition(usage.DAY)}, by={"log": usage.DAY})
+    kept = changes.retain(state, ntz(f"{REPLAY_FROM} 00:00:00"), 20)
+    as_of = dt.datetime.combine(REPLAY_FROM, dt.time()) + dt.timedelta(days=1)
+    return store, repair.repair_late(store.read("log", usage.LOG_BY_DAY), kept, repair.days_of(store, "log"), REPLAY_FROM, as_of)
+
+
+@query
+def usage_late_repair(spark, d):
+    """The log after its late readings were repaired: as if all had been replayed."""
+    store, found = _late(spark, d)
+    repair.apply_repair(store, "log", found, usage.LOG_BY_DAY)
+    return store.read("log", METER_LOG)
+
+
 @query
 def keyed_update(spark, d):
     """Corrections for every third row, each twice, some with empty values."""

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from meterflow.functions.expr import is_not_anomaly, ntz, trunc_seconds
 from meterflow.operators.changes import flag_reset, retain, rewind, upsert
 from meterflow.operators.skew import KeyChunks, lag_by_key, latest_by, plan_chunks
-from meterflow.schemas import COUNTER_STATE, USAGE_RESULT
+from meterflow.schemas import COUNTER_STATE, METER_LOG, USAGE_RESULT
 from meterflow.sources.meter_files import USABLE
 
 ALLOWED_RATE = 100
@@ -22,6 +22,7 @@ COUNTERS = ("overall_usage_anytime", "overall_usage_offpeak", "overall_available
 # state and log are laid out by the day of the poll
 DAY = "end_day"
 STATE_BY_DAY = T.StructType([*COUNTER_STATE.fields, T.StructField(DAY, T.DateType())])
+LOG_BY_DAY = T.StructType([*METER_LOG.fields, T.StructField(DAY, T.DateType())])
 READ_COLUMNS = ("id", "clock", "subscriber_number", *COUNTERS, "end_date", "terminal_status")
 LAGS = {
     "lag_clock": "clock",
