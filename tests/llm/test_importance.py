@@ -2,9 +2,11 @@
 
 import math
 import re
+import struct
 from collections import Counter
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from meterflow.llm.importance import BUCKET_BITS, BUCKETS, op1_importance, resample
@@ -49,6 +51,32 @@ def test_documents(spark):
         assert abs(want - got.log_weight[i]) < 1e-6 * max(1, abs(want))
 
 
+def test_key_and_rank(spark):
+    """The noise from a hash of the row by another library, and the ranks from sorting the keys."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()}
+    got = op1_importance(spark, SF_DIR).toPandas()
+
+    def noise(doc_id):
+        h = xxhash.xxh64_intdigest(struct.pack("<q", doc_id), 42)
+        h = xxhash.xxh64_intdigest(docs[doc_id].encode(), h) if docs[doc_id] is not None else h
+        h = xxhash.xxh64_intdigest(struct.pack("<i", 1), h)
+        return -math.log(-math.log((h % (1 << 52) + 0.5) / (1 << 52)))
+
+    want = {r.doc_id: r.log_weight + noise(r.doc_id) for r in got.itertuples()}
+    assert all(abs(want[r.doc_id] - r.key) < 1e-9 * max(1, abs(r.key)) for r in got.itertuples())
+    order = sorted(got.itertuples(), key=lambda r: (-r.key, r.doc_id))
+    assert [r.rank for r in order] == list(range(1, len(order) + 1))
+
+
+def test_bound_of_targets(spark):
+    """More good rows than the bound: a fixed choice of them makes the target model; all rows make the raw one and get a weight."""
+    docs = spark.createDataFrame([(i, f"w{i} common") for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    few, again, whole = (resample(docs, labels, 0.5, n).toPandas().set_index("doc_id").log_weight for n in (5, 5, 40))
+    assert (few == again).all() and (few.nlargest(5).index < 40).all() and len(few) == 60
+    assert set(whole.nlargest(40).index) == set(range(40))
+
+
 def test_good_texts_are_drawn_more_often(spark):
     rows = [(i, ("good words here " if i % 2 else "bad junk there ") * 5) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
