@@ -54,9 +54,11 @@ def _pieces() -> Column:
 
 
 def _with_runs(docs: DataFrame, gram_words: int, tails: bool) -> DataFrame:
-    """The rows with _pieces (the text in parts), words (of each line), short (lines to a gram), starts (how many places have a gram) and tails (first and last line of each further gram)."""
+    """The rows with _pieces (the text in parts), _lines (those that are not blank, without outer space) and _at (which piece each is), words (of each line), short (lines to a gram), starts (how many places have a gram) and tails (first and last line of each further gram)."""
     pieces = docs.withColumn("_pieces", _pieces())
-    lines = pieces.withColumn("_lines", F.transform("_pieces", lambda p: F.btrim(p, F.lit(" \t\n"))))
+    trimmed = "transform(_pieces, (p, k) -> named_struct('at', k, 'line', btrim(p, ' \\t\\n')))"
+    # (an array that a lambda reads must be named twice, or the optimizer moves its making into the lambda)
+    lines = pieces.withColumn("_filled", F.expr(f"filter({trimmed}, x -> x.line <> '')")).withColumn("_lines", F.col("_filled.line")).withColumn("_at", F.col("_filled.at"))
     words = lines.withColumn("words", F.expr("transform(_lines, p -> octet_length(p) - octet_length(replace(p, ' ', '')) + 1)"))
     runs = words.withColumn("short", _run_lengths(gram_words))
     # the places with a gram are the first ones
@@ -82,7 +84,6 @@ def fingerprinted(docs: DataFrame, gram_words: int, sure_words: int, tails: bool
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
     runs = _with_runs(_with_version(texts.where("id IS NOT NULL AND text RLIKE '[^ \\\\t\\\\n]'")), gram_words, tails)
     grams = runs.withColumn("long", _run_lengths(sure_words)).withColumn("hashes", F.transform("_lines", lambda p: F.xxhash64(p)))
-    # (an array that a lambda reads must be named twice, or the optimizer moves its making into the lambda)
     grams = grams.withColumn("grams", F.expr(_GRAMS))
     sorted_ = "if(size(array_distinct(grams)) < size(grams), array_sort(transform(grams, (g, i) -> named_struct('hash', g, 'at', i + 1))), NULL)"
     # (no filter on any of these arrays: it would be pushed below and make them again in its own lambdas)
@@ -131,7 +132,7 @@ def without_repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_w
     """All rows and columns of ``docs`` (doc_id, text), text without later repeated runs of lines, with n_lines and removed (places from 0).
 
     Lines end after line breaks and after a sentence's end (. ! ?) and a space; they are compared without outer spaces, tabs and
-    breaks. Words of a line: its spaces plus one. A gram (``gram_words`` words) that an earlier place has goes if the document shares
+    breaks. Blank ones have no words, are in no gram and go with the lines around them. Words of a line: its spaces plus one. A gram (``gram_words`` words) that an earlier place has goes if the document shares
     a fingerprint with another one, which is sure for a common run of ``sure_words`` words, or has the gram twice itself. Without ``tails``,
     up to ``gram_words`` - 1 words at the end of a repeated passage inside a longer text stay.
     Earlier: smaller doc_id, then smaller place, so the first one stays. Other texts stay as
@@ -147,7 +148,8 @@ def without_repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_w
     # grams only where some go
     cut = joined.withColumn("_pieces", _pieces())
     own = _with_runs(joined.where("_places IS NOT NULL"), gram_words, tails)
-    ranges = "if(i <= starts, sequence(i - 1, i + short[i - 1] - 2), sequence(tails[i - starts - 1].a - 1, tails[i - starts - 1].b - 1))"
+    # (blank pieces between the lines of a run go with it)
+    ranges = "if(i <= starts, sequence(_at[i - 1], _at[i + short[i - 1] - 2]), sequence(_at[tails[i - starts - 1].a - 1], _at[tails[i - starts - 1].b - 1]))"
     own = own.withColumn("removed", F.expr(f"array_sort(array_distinct(flatten(transform(filter(_places, i -> i <= starts + size(tails)), i -> {ranges}))))"))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(_pieces) - 1), removed), i -> _pieces[i]), '')")
     # (out of an array of one: a filter on these columns then stays above their making)

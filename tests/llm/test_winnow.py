@@ -20,12 +20,18 @@ def gram(lines, a, least):
     return b if total >= least else None
 
 
+def filled(text):
+    """The lines that are not blank, with their words; and which pieces of the text they are."""
+    lines = [(k, p.strip(" \t\n")) for k, p in enumerate(CUT.split(text))]
+    return [(x, x.count(" ") + 1) for _, x in lines if x], [k for k, x in lines if x]
+
+
 def brute_force(rows, gram_words, sure_words):
     """Lines that must go (in a gram within a sure run seen before), and lines that may go (in a gram seen before)."""
-    docs = {}
+    docs, pieces = {}, {}
     for i, text in rows:
         if i is not None and text and text.strip():
-            docs[i] = [(p.strip(" \t\n"), p.strip(" \t\n").count(" ") + 1) for p in CUT.split(text)]
+            docs[i], pieces[i] = filled(text)
     out = []
     for least in (sure_words, gram_words):
         seen, gone = set(), {i: set() for i in docs}
@@ -37,13 +43,13 @@ def brute_force(rows, gram_words, sure_words):
                     if key in seen:
                         for c in range(a, b):
                             if (d := gram(lines, c, gram_words)) is not None and d <= b:
-                                gone[i].update(range(c, d))
+                                gone[i].update(range(pieces[i][c], pieces[i][d - 1] + 1))
                     seen.add(key)
             # the lines from the last gram's start to the end are a gram too
             if (starts := [a for a in range(len(lines)) if gram(lines, a, gram_words)]) and least == gram_words:
                 key = ("end", *(x for x, _ in lines[starts[-1] :]))
                 if key in seen:
-                    gone[i].update(range(starts[-1], len(lines)))
+                    gone[i].update(range(pieces[i][starts[-1]], pieces[i][-1] + 1))
                 seen.add(key)
         out.append(gone)
     return out
@@ -86,6 +92,16 @@ def test_planted_passages(spark):
     assert check(spark, rows) > 200
 
 
+def test_blank_lines_are_no_lines(spark):
+    """A passage goes from a copy with blank lines, and spaces before the breaks, between its lines."""
+    lines = [f"{'abcdefgh'[k]} one two three four five six seven" for k in range(8)]
+    rows = [(1, "head\n" + "\n".join(lines) + "\ntail"), (2, "other\n\n" + "\n\n".join(lines) + "\n\nend"), (3, " \n".join(lines)), (4, "\n \n\t\n".join(lines[2:]))]
+    for tails in (False, True):
+        got = {r.doc_id: r for r in without_repeated_lines(spark.createDataFrame(rows, SCHEMA), tails=tails).collect()}
+        assert [got[i].text for i in (1, 2, 3, 4)] == [rows[0][1], "other\n\n\nend", "", ""]
+    check(spark, rows)
+
+
 def test_documents(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     assert check(spark, rows) > 0
@@ -109,13 +125,13 @@ def backward(rows, gram_words=20):
     """Lines in a shortest run with ``gram_words`` words up to a line, whose lines an earlier place has."""
     seen, gone = set(), {}
     for i, text in sorted(rows):
-        lines = [(p.strip(" \t\n"), p.strip(" \t\n").count(" ") + 1) for p in CUT.split(text)]
+        lines, at = filled(text)
         gone[i] = set()
         for b in range(len(lines)):
             if (n := gram(lines[b::-1], 0, gram_words)) is not None:
                 key = tuple(x for x, _ in lines[b - n + 1 : b + 1])
                 if key in seen:
-                    gone[i].update(range(b - n + 1, b + 1))
+                    gone[i].update(range(at[b - n + 1], at[b] + 1))
                 seen.add(key)
     return gone
 
