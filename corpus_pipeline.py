@@ -26,11 +26,13 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     n_chars is counted anew where lines are cut out.
     """
-    cut = without_repeated_lines(docs, tails=True)
-    cut = cut.where("NOT (size(removed) > 0 AND text RLIKE '^[ \\\\t\\\\n]*$')")
+    # (the other columns travel as one, so that none has the name of a result)
+    cut = without_repeated_lines(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")), tails=True)
+    cut = cut.where("NOT (size(removed) > 0 AND text RLIKE '^[ \\t\\n]*$')")
+    made = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.size("removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+        made["n_chars"] = F.when(F.size("removed") > 0, F.length("text")).otherwise(F.col("_row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[made.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
