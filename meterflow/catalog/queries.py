@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from meterflow.catalog import bindings as b
 from meterflow.functions.expr import ntz
 from meterflow.operators import changes, rollup, summaries
-from meterflow.plans import repair, sessions, telemetry, usage
+from meterflow.plans import repair, sessions, sql_text, telemetry, usage
 from meterflow.schemas import (
     COUNTER_STATE,
     ETL_DAY,
@@ -19,6 +19,7 @@ from meterflow.schemas import (
     METER_LOG,
     METER_RECORD,
     PROCESS_SNAPSHOT,
+    RUN_COUNTS,
     SESSION_ANALYSIS_COLUMNS,
     SESSION_HISTORY,
     SESSION_STAGE,
@@ -66,6 +67,19 @@ def anomaly_flag(spark, d):
     return rows.withColumns(flags).select("id", "prev_clock", "prev_usage", "prev_offpeak", "prev_tokens", *flags)
 
 
+@query
+def anomaly_flag_sql(spark, d):
+    """The same flags by the function that SQL users call."""
+    sql_text.register_functions(spark)
+    rows = usage.with_previous(b.usage_batch(spark, d), b.usage_state(spark, d))
+    return spark.sql("""
+        SELECT id, prev_clock, prev_usage, prev_offpeak, prev_tokens,
+          is_not_anomaly(clock, overall_usage_anytime, prev_clock, prev_usage) AS is_not_anomaly_usage,
+          is_not_anomaly(clock, overall_usage_offpeak, prev_clock, prev_offpeak, :rate) AS is_not_anomaly_offpeak,
+          is_not_anomaly(clock, prev_tokens, prev_clock, overall_available_tokens) AS is_not_anomaly_token
+        FROM {rows}""", args={"rate": usage.ALLOWED_RATE}, rows=rows)
+
+
 @query
 def usage_with_rejects(spark, d):
     return usage.increments_with_rejects(b.usage_batch(spark, d), b.usage_state(spark, d))
@@ -198,6 +212,19 @@ def state_rewind_by_day(spark, d):
     return store.read("state", COUNTER_STATE)
 
 
+@query
+def keyed_update_by_file(spark, d):
+    """The corrections of ``keyed_update`` for one number in a table of several files: only files with such readings are rewritten."""
+    store = VersionedTables(spark, scratch_dir(spark, "files"))
+    log = b.full_log(spark, d)
+    schema = log.schema
+    store.publish(0, append={"log": log.repartitionByRange(8, "id")})
+    fixes = log.where(F.col("subscriber_number") == "7").select("id", "end_date", F.lit(None).cast("bigint").alias("usage_anytime"), F.lit(7).alias("summary_flag"))
+    keys, columns = ["id", "end_date"], ["usage_anytime", "summary_flag"]
+    store.update("log", schema, fixes, keys, lambda target, rows: changes.keyed_update(target, rows, keys, columns))
+    return store.read("log", schema)
+
+
 @query
 def flag_reset(spark, d):
     return changes.flag_reset(b.full_log(spark, d), ntz("2024-01-10 00:00:00"), ("normal", "minor"))
@@ -340,6 +367,14 @@ def session_stage(spark, d):
     return _stage(spark, d)
 
 
+@query
+def session_stage_sql(spark, d):
+    """The stage of one of two captured intervals, from the job's SQL text."""
+    columns = SESSION_STAGE.names
+    snapshots_ = b.first_snapshot(spark, d).select(*columns).unionByName(b.session_snapshot(spark, d).select(*columns))
+    return sql_text.session_stage_text(snapshots_, "2024-01-01 00:00:00", dt.datetime(2024, 1, 1, 2))
+
+
 @query
 def session_unchanged(spark, d):
     return sessions.session_unchanged(_stage(spark, d), b.session_history(spark, d))
@@ -487,6 +522,12 @@ def udr_stream_status(spark, d):
     return _ingested(spark, d).read("files", FILE_STATUS)
 
 
+@query
+def udr_stream_counts(spark, d):
+    """What the ingest stream counted while it wrote its tables."""
+    return _ingested(spark, d).read("run_counts", RUN_COUNTS).select("batch", "n_lines", "n_records", "n_bad_json", "n_bad_field", "n_new")
+
+
 @query
 def usage_stream(spark, d):
     """The batch in four runs of the usage stream, each starting from the state of the one before."""

@@ -45,6 +45,9 @@ FILE_STATUS = _schema({
     "file_ok": T.BooleanType(),
 })
 
+# What a batch of meter files came to.
+RUN_COUNTS = _schema({"stream": STR, "batch": LONG, "n_lines": LONG, "n_records": LONG, "n_bad_json": LONG, "n_bad_field": LONG, "n_new": LONG})
+
 # The columns of the meter log that usage calculation needs or sets.
 METER_LOG = _schema({
     "id": LONG,

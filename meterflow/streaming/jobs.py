@@ -12,7 +12,7 @@ import json
 from collections.abc import Callable, Iterator
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -22,7 +22,8 @@ from meterflow.operators import summaries
 from meterflow.operators.changes import insertable, retain
 from meterflow.plans.sessions import analysis_view, changes_delta, session_stage
 from meterflow.plans.usage import RETAIN_DAYS, next_state, usage_increments
-from meterflow.schemas import COUNTER_STATE, ETL_DAY, METER_RECORD, SESSION_HISTORY, SESSION_STAGE, SNAPSHOT
+from meterflow.schemas import COUNTER_STATE, ETL_DAY, METER_RECORD, RUN_COUNTS, SESSION_HISTORY, SESSION_STAGE, SNAPSHOT
+from meterflow.session import small_table
 from meterflow.sources.meter_files import (
     USABLE,
     accepted,
@@ -81,14 +82,18 @@ def ingest_files(
     glob: str = "*.udr",
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """New meter files into ``records`` (known keys ignored), ``quarantine`` and ``files`` (a status row per file).
+    """New meter files into ``records`` (known keys ignored), ``quarantine``, ``files`` (a status row per file) and ``run_counts``.
+
+    ``run_counts`` has a row for each batch: lines read, records, bad lines and records that were new, taken in passing while the other tables are
+    written, and committed with them.
 
     A file is stored as a whole or not at all: one with a wrong field leaves no record and waits in ``files`` as
     not done, until it is sent again under another name. A batch holds whole files.
     """
 
     def work(lines: DataFrame, batch: int, stream: str) -> None:
-        store = VersionedTables(lines.sparkSession, tables)
+        session = lines.sparkSession
+        store = VersionedTables(session, tables)
         classified = classify_lines(lines, tz, created_by).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             status = file_status(classified)
@@ -97,7 +102,13 @@ def ingest_files(
             before = store.state()
             near = _same_time(store.read("records", METER_RECORD, before), rows, "end_date")
             new = insertable(near, rows, RECORD_KEYS, tie_break=["udr_file_name", "end_date"])
-            changes = {"records": new, "quarantine": quarantined(classified), "files": status}
+            read, added = Observation(), Observation()
+            changes = {
+                "records": new.observe(added, F.count(F.lit(1)).alias("n_new")),
+                "quarantine": quarantined(classified),
+                "files": status.observe(read, *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_lines", "n_records", "n_bad_json", "n_bad_field")]),
+                "run_counts": lambda: small_table(session, [{"stream": stream, "batch": batch} | read.get | added.get], RUN_COUNTS),
+            }
             store.publish(batch, append=changes, stream=stream, reads=("records",), since=before)
         finally:
             classified.unpersist()
@@ -197,8 +208,7 @@ def _add_changes(
     stage = session_stage(snapshot).persist(StorageLevel.MEMORY_AND_DISK)
     delta = changes_delta(stage, store.read("history", SESSION_HISTORY, before), latest_only).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ordered = delta.drop("new_ind").sortWithinPartitions("username", "acctstarttime", "extract_date")
-        changes = {"history": ordered, "analysis": analysis_view(delta)}
+        changes = {"history": delta.drop("new_ind"), "analysis": analysis_view(delta)}
         store.publish(batch, append=changes, stream=stream, offsets=offsets, reads=("history",), since=before)
     finally:
         delta.unpersist()
