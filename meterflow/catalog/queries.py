@@ -522,6 +522,22 @@ def udr_stream_status(spark, d):
     return _ingested(spark, d).read("files", FILE_STATUS)
 
 
+@query
+def udr_stream_unique(spark, d):
+    """Keys of all accepted records, which come twice, through the watermark form of insert-ignore."""
+    folder = scratch_dir(spark, "unique")
+    records, _ = meter_files.parse_udr(b.meter_lines(spark, d), b.TZ, "meter")
+    tables.write_parquet(records, f"{folder}/in")
+    tables.write_parquet(records, f"{folder}/in")
+    stream = jobs.unique_records(spark.readStream.schema(METER_RECORD).parquet(f"{folder}/in"))
+
+    def work(rows, batch, name):
+        VersionedTables(rows.sparkSession, f"{folder}/tables").publish(batch, append={"records": rows.select(*METER_RECORD.names)}, stream=name)
+
+    jobs.run_stream(stream, f"{folder}/checkpoint", work).awaitTermination()
+    return VersionedTables(spark, f"{folder}/tables").read("records", METER_RECORD).select(*jobs.RECORD_KEYS)
+
+
 @query
 def udr_stream_counts(spark, d):
     """What the ingest stream counted while it wrote its tables."""

@@ -20,9 +20,7 @@ def insertable(target: DataFrame, rows: DataFrame, keys: list[str], tie_break: l
     """The rows that an insert ignoring conflicts would add: what an appending sink writes."""
     with_key = rows.where(~_keyless(keys))
     first = latest_by(with_key, keys, *[F.asc_nulls_last(c) for c in tie_break])
-    # the keys of the rows reduce the target first: where they are few, they are sent to it and it stays in place
-    taken = target.select(*keys).join(with_key.select(*keys).distinct(), keys, "left_semi")
-    return first.join(taken, keys, "left_anti").select(*rows.columns).unionByName(
+    return first.join(target.select(*keys), keys, "left_anti").select(*rows.columns).unionByName(
         rows.where(_keyless(keys))
     )
 

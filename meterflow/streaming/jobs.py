@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 from meterflow.functions.expr import ntz
 from meterflow.operators import summaries
 from meterflow.operators.changes import insertable, retain
+from meterflow.plans.history import next_live, sketch, versions_of
 from meterflow.plans.sessions import analysis_view, changes_delta, session_stage
 from meterflow.plans.usage import RETAIN_DAYS, next_state, usage_increments
 from meterflow.schemas import COUNTER_STATE, ETL_DAY, METER_RECORD, RUN_COUNTS, SESSION_HISTORY, SESSION_STAGE, SNAPSHOT
@@ -203,16 +204,19 @@ def _snapshots(rows: DataFrame) -> Iterator[DataFrame]:
 def _add_changes(
     store: VersionedTables, snapshot: DataFrame, batch: int, stream: str, latest_only: bool, offsets: dict[str, int] | None = None
 ) -> None:
-    """A snapshot's changes into ``history`` and ``analysis``."""
+    """A snapshot's changes into ``history`` and ``analysis``, with the tables that spare the next snapshot the history (``live``, ``sketches``)."""
     before = store.state()
     stage = session_stage(snapshot).persist(StorageLevel.MEMORY_AND_DISK)
-    delta = changes_delta(stage, store.read("history", SESSION_HISTORY, before), latest_only).persist(StorageLevel.MEMORY_AND_DISK)
+    known = versions_of(store, stage, before)[0].persist(StorageLevel.MEMORY_AND_DISK)
+    delta = changes_delta(stage, known, latest_only).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        changes = {"history": delta.drop("new_ind"), "analysis": analysis_view(delta)}
-        store.publish(batch, append=changes, stream=stream, offsets=offsets, reads=("history",), since=before)
+        rows = delta.drop("new_ind")
+        changes = {"history": rows, "analysis": analysis_view(delta), "sketches": sketch(rows)}
+        live = {"live": next_live(known, rows, stage)}
+        store.publish(batch, append=changes, replace=live, stream=stream, offsets=offsets, reads=("history", "live"), since=before)
     finally:
-        delta.unpersist()
-        stage.unpersist()
+        for df in (delta, known, stage):
+            df.unpersist()
 
 
 # --- jobs that follow other jobs -----------------------------------------------------------

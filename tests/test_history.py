@@ -1,0 +1,78 @@
+"""A snapshot is compared with the history it needs; the rest of the history is not read."""
+
+import datetime as dt
+import random
+
+from meterflow.plans import history, sessions
+from meterflow.schemas import SESSION_HISTORY, SESSION_STAGE
+from meterflow.sources.tables import write_parquet
+from meterflow.sources.versions import VersionedTables
+from meterflow.streaming import jobs
+
+START = dt.datetime(2024, 1, 1)
+
+
+def snapshot(spark, hour, rows):
+    """(id, user, octets) at an hour."""
+    made = []
+    for i, user, octets in rows:
+        values = dict.fromkeys(SESSION_STAGE.names)
+        values |= {"acctsessionid": i, "acctuniqueid": i, "username": user, "acctstarttime": START, "acctsessiontime": 60 * hour, "acctinputoctets": octets,
+                   "acctoutputoctets": octets, "extract_date": START + dt.timedelta(hours=hour), "etl_date": START + dt.timedelta(hours=hour)}
+        made.append(tuple(values[n] for n in SESSION_STAGE.names))
+    return spark.createDataFrame(made, SESSION_STAGE)
+
+
+def test_sketches_miss_nothing(spark):
+    rng = random.Random(2)
+    batches = {f"b{n}": {f"id{rng.randrange(10**9)}" for _ in range(400)} for n in range(12)}
+    rows = [history.sketch(spark.createDataFrame([(i,) for i in ids], "acctuniqueid string")).selectExpr("*", f"'{name}' AS commit") for name, ids in batches.items()]
+    sketches = rows[0]
+    for more in rows[1:]:
+        sketches = sketches.unionByName(more)
+    sketches = sketches.cache()
+    for name, ids in batches.items():
+        found = history.batches_with(sketches, spark.createDataFrame([(sorted(ids)[0],), (None,)], "acctuniqueid string"))
+        assert name in found and len(found) <= 3
+    strange = spark.createDataFrame([(f"other{k}",) for k in range(20)], "acctuniqueid string")
+    assert len(history.batches_with(sketches, strange)) <= 2
+    assert history.sketch(strange.limit(0)).isEmpty() and history.batches_with(sketches, strange.limit(0)) == []
+
+
+def test_old_history_is_not_read(spark, tmp_path):
+    """Sessions live for three snapshots; one stays away for six and comes back, one is there all the time."""
+    store = VersionedTables(spark, str(tmp_path / "t"))
+    rng = random.Random(3)
+    whole = spark.createDataFrame([], SESSION_HISTORY)
+    read = []
+    for hour in range(9):
+        rows = [(f"s{k}", f"u{k % 7}", 100 * (hour + 1) if rng.random() < 0.7 else 100) for k in range(10 * hour, 10 * hour + 30)]
+        rows += [("always", "a", 5 * hour), (None, "n", 1), ("twice", None, 3), ("twice", None, 3)]
+        rows += [("away", "w", 100 + hour)] if hour in (0, 1, 8) else []
+        snap = snapshot(spark, hour, rows)
+        stage = sessions.session_stage(snap)
+        read.append(history.versions_of(store, stage)[1])
+        want = sessions.changes_delta(stage, whole).drop("new_ind").collect()
+        jobs._add_changes(store, snap, hour, "s", False)
+        got = store.added(hour, "history", SESSION_HISTORY).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)), hour
+        whole = store.read("history", SESSION_HISTORY)
+    # only the last snapshot, in which one comes back, meets old batches: those that had it
+    assert all(not r for r in read[:8]) and 1 <= len(read[8]) <= 3
+    away = store.read("history", SESSION_HISTORY).where("acctuniqueid = 'away'").orderBy("extract_date").collect()
+    assert [r.diff_acctinputoctets for r in away] == [100, 1, 7]
+    live = store.read("live", SESSION_HISTORY)
+    assert live.select("acctuniqueid").distinct().count() <= 33 and live.where("acctuniqueid = 'always'").count() == 9
+
+
+def test_batches_without_sketch_are_read(spark, tmp_path):
+    store = VersionedTables(spark, str(tmp_path / "t"))
+    first = snapshot(spark, 1, [("a", "u", 10), ("b", "u", 20)])
+    jobs._add_changes(store, first, 0, "s", False)
+    jobs._add_changes(store, snapshot(spark, 2, [("c", "u", 5)]), 1, "s", False)
+    assert store.compact("history", SESSION_HISTORY)
+    stage = sessions.session_stage(snapshot(spark, 3, [("a", "u", 10), ("b", "u", 25)]))
+    known, parts = history.versions_of(store, stage)
+    assert len(parts) == 1 and sorted(r.acctuniqueid for r in known.collect()) == ["a", "b"]
+    write_parquet(snapshot(spark, 4, []), str(tmp_path / "in"))
+    assert history.versions_of(store, sessions.session_stage(snapshot(spark, 4, [])))[0].isEmpty()
