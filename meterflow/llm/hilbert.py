@@ -76,10 +76,8 @@ def text_codes(df: DataFrame, column: str, bits: int) -> DataFrame:
     """(column, column_code) for all texts in ``column``, codes rising with the texts' order; each has about equally many rows."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_rows"))
     placed = running_totals(counts, [column], {"_before": "_rows"})
-    total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(1)).alias("_all"))
-    return placed.join(F.broadcast(total)).select(  # one row
-        column, F.floor(F.col("_before") * F.lit(1 << bits) / F.col("_all")).cast("int").alias(f"{column}_code")
-    )
+    total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(1))).scalar()
+    return placed.select(column, F.floor(F.col("_before") * F.lit(1 << bits) / total).cast("int").alias(f"{column}_code"))
 
 
 def hilbert_shards(
@@ -106,8 +104,7 @@ def hilbert_shards(
     codes = [F.coalesce(F.col(f"{c}_code"), F.lit(0)) for c in texts] + [number_codes(meta, c, bits) for c in numbers]
     placed = rows.select("doc_id", "size", "text_crc32", curve_index(codes, bits).alias("hilbert"), F.lit(1).alias("one"))
     ran = running_totals(placed, ["hilbert", "text_crc32", "doc_id"], {"before": "size", "place": "one"})
-    total = ran.agg(F.sum("size").alias("all_bytes"))
-    cut = ran.join(F.broadcast(total)).withColumn(  # one row
+    cut = ran.withColumn("all_bytes", ran.agg(F.sum("size")).scalar()).withColumn(
         "shard", F.expr(f"cast(before * decimal({shards}) div all_bytes AS int)")
     )
     firsts = cut.groupBy("shard").agg(F.min("place").alias("first"))

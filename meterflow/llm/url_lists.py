@@ -46,10 +46,10 @@ def active_entries(captures: DataFrame, entries: DataFrame) -> DataFrame:
         "explode(concat(transform(sequence(1, size(labels)), i -> array_join(slice(labels, i, size(labels)), '.')),"
         " if(segment = '', array(), array(concat(host, '/', segment))))) AS pattern",
     )
-    span = captures.agg(F.date_trunc("MONTH", F.min("fetched_at")).alias("low"), F.date_trunc("MONTH", F.max("fetched_at")).alias("high"))
     months = (
         validity(entries)
-        .join(F.broadcast(span))  # one row
+        .withColumn("low", captures.agg(F.date_trunc("MONTH", F.min("fetched_at"))).scalar())
+        .withColumn("high", captures.agg(F.date_trunc("MONTH", F.max("fetched_at"))).scalar())
         .selectExpr("*", "greatest(low, date_trunc('MONTH', valid_from)) AS a", "least(high, date_trunc('MONTH', coalesce(valid_to, high))) AS b")
         .where("a <= b")
         .selectExpr("list", "pattern", "action", "valid_from", "valid_to", "explode(sequence(a, b, INTERVAL 1 MONTH)) AS month")

@@ -1,5 +1,6 @@
 """Shards along the curve: the curve itself, sizes, slots and odd rows."""
 
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -48,3 +49,15 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumns({"size": F.lit("x"), "place": F.lit(1)})
     laws(hilbert_shards(df, 4).collect(), [r[:2] for r in rows], 4)
     assert hilbert_shards(df.limit(0), 4).collect() == []
+
+
+def test_no_python_and_no_nested_loop(spark):
+    plan = op9_hilbert(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan)
+
+
+def test_dimensions_that_are_not_there_and_long_texts(spark):
+    rows = [(i, "x" * (1 if i else 200_000)) for i in range(40)]
+    got = hilbert_shards(spark.createDataFrame(rows, "doc_id bigint, text string"), 4).collect()
+    assert len(got) == 40 and {r.hilbert for r in got} == {0} and sum(r["size"] for r in got) == 200_001 + 39 * 2
+    assert sorted((r.shard, r.slot) for r in got) == sorted((r.shard, k) for s in {r.shard for r in got} for k, r in enumerate(x for x in got if x.shard == s))
