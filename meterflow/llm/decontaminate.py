@@ -25,31 +25,16 @@ GRAM = 3
 WINDOW = 2
 BLOCK_BYTES = 16 << 20
 THRESHOLD = 0.5
+# an alignment as good as so many words in a row counts, whatever share of its item it is
+LONG_RUN = 25
+# an item with fewer than GRAM words is searched as a whole if it has so many bytes; a shorter one ("yes") is no passage
+SHORT_BYTES = 16
 MATCH, MISMATCH, GAP = 2, -1, -1
 MARGIN = 8
 CELLS = 1 << 19
 FILTER_BITS = 20
 
 
-@dataclass
-class Items:
-    """Benchmark items of a block as lists of word hashes, one after another, and their n-grams."""
-
-    ids: np.ndarray
-    hashes: np.ndarray
-    firsts: np.ndarray
-    grams: np.ndarray
-    gram_at: np.ndarray
-
-    @classmethod
-    def of(cls, ids: list[int], texts: list[str | None]) -> Items:
-        words = words_of(*utf8(pa.array(texts, pa.string())), letters_only=True)
-        return cls(np.array(ids, np.int64), words.hashes, words.firsts, *words.grams(GRAM))
-
-    def item_of(self, at: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.firsts, at, "right") - 1
-
-
 class Seeds:
     """Sorted n-gram hashes with the places they stand for, and a bit table that rejects most others at once."""
 
@@ -69,9 +54,40 @@ class Seeds:
         return np.repeat(maybe, count), self.at[place]
 
 
-def rarest(items: Items, counts: dict[int, int]) -> Seeds:
-    """The rarest n-gram of every ``WINDOW`` consecutive ones of an item (of all, if it has fewer)."""
-    often = np.array([counts.get(int(h), 0) for h in items.grams.view(np.int64)], np.int64)
+@dataclass
+class Items:
+    """Benchmark items of a block as lists of word hashes, one after another, and their n-grams."""
+
+    ids: np.ndarray
+    hashes: np.ndarray
+    firsts: np.ndarray
+    grams: np.ndarray
+    gram_at: np.ndarray
+    short: dict[int, Seeds]
+
+    @classmethod
+    def of(cls, ids: list[int], texts: list[str | None]) -> Items:
+        words = words_of(*utf8(pa.array(texts, pa.string())), letters_only=True)
+        short = {}
+        for n in range(1, GRAM):
+            whole = np.flatnonzero(np.diff(words.firsts) == n)
+            whole = whole[words.ends[words.firsts[whole] + n - 1] - words.starts[words.firsts[whole]] >= SHORT_BYTES]
+            if len(whole):
+                hashes, at = words.grams(n)
+                short[n] = Seeds(hashes[np.searchsorted(at, words.firsts[whole])], whole)
+        return cls(np.array(ids, np.int64), words.hashes, words.firsts, *words.grams(GRAM), short)
+
+    def item_of(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.firsts, at, "right") - 1
+
+
+def rarest(items: Items, counts: tuple[np.ndarray, np.ndarray]) -> Seeds:
+    """The rarest n-gram of every ``WINDOW`` consecutive ones of an item (of all, if it has fewer). ``counts``: sorted hashes and how often each occurs."""
+    known, n = counts
+    often = np.zeros(len(items.grams), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, items.grams), len(known) - 1)
+        often = np.where(known[at] == items.grams, n[at], 0)
     owner = items.item_of(items.gram_at)
     bounds = np.searchsorted(owner, np.arange(len(items.ids) + 1))
     chosen = np.zeros(len(often), bool)
@@ -107,7 +123,21 @@ def align(items: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def hits(words: Words, items: Items, seeds: Seeds, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
-    """(text, item, score, meetings, word at which the alignment ends) of each text and item with a score of at least ``threshold``."""
+    """(text, item, score, meetings, word at which the alignment ends) of each text and item with a score of at least ``threshold``, or an alignment as good as ``LONG_RUN`` words."""
+    yield from aligned_hits(words, items, seeds, threshold)
+    for n, whole in items.short.items():
+        grams, at = words.grams(n)
+        which, item = whole.meet(grams)
+        text = np.searchsorted(words.firsts, at[which], "right") - 1
+        order = np.lexsort((at[which], item, text))
+        text, item, word = text[order], item[order], at[which][order]
+        last = np.flatnonzero(np.append((text[1:] != text[:-1]) | (item[1:] != item[:-1]), True)[: len(text)])
+        for a, b in zip(np.append(0, last[:-1] + 1), last):
+            yield int(text[b]), int(item[b]), 1.0, int(b - a + 1), int(word[b] + n - words.firsts[text[b]])
+
+
+def aligned_hits(words: Words, items: Items, seeds: Seeds, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
+    """The hits of items with ``GRAM`` words or more."""
     grams, at = words.grams(GRAM)
     which, place = seeds.meet(grams)
     if not len(which):
@@ -149,9 +179,10 @@ def hits(words: Words, items: Items, seeds: Seeds, threshold: float) -> Iterator
                 best[key] = (float(s), int(low[r] + e - words.firsts[text[own[r]]]))
         a = b
     met = np.bincount(pair)
+    sizes = np.diff(items.firsts)
     first = np.flatnonzero(~same)
     for key, (score, end) in sorted(best.items()):
-        if score >= threshold:
+        if score >= threshold or score * sizes[item[first[key]]] >= LONG_RUN:
             yield int(text[first[key]]), int(item[first[key]]), score, int(met[key]), end
 
 
@@ -174,11 +205,11 @@ def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, item_id, score, seeds, end_word: each document and item whose alignment reaches ``threshold``.
+    """doc_id, item_id, score, seeds, end_word: each document and item whose alignment reaches ``threshold``, or is as good as ``LONG_RUN`` words in a row (part of a long item).
 
     score: the alignment's score (word met 2, other word -1, gap -1) by that of the whole item, 0 to 1. seeds: how many seeds met. end_word: how many words
-    of the document lie before the alignment's end. Words are runs of letters, digits and bytes beyond ASCII, in small letters. Texts that are missing, or items
-    with fewer than ``GRAM`` words, are part of nothing. Repeated documents give repeated rows; repeated items count once. Missing ids of documents stay.
+    of the document lie before the alignment's end. Words are runs of letters, digits and bytes beyond ASCII, in small letters. Items
+    with fewer than ``GRAM`` words are found as they are only (score 1), and not at all if they have fewer than ``SHORT_BYTES`` bytes. Missing texts are part of nothing. Repeated documents give repeated rows; repeated items count once. Missing ids of documents stay.
     """
     spark = small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -205,8 +236,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     return found
 
 
-def gram_counts(texts: DataFrame, items: Items) -> dict[int, int]:
-    """How often the block's n-grams occur in all texts."""
+def gram_counts(texts: DataFrame, items: Items) -> tuple[np.ndarray, np.ndarray]:
+    """How often the block's n-grams occur in all texts: sorted hashes and counts, a number each for every n-gram of the block at most."""
     known = Seeds(*np.unique(items.grams, return_index=True))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +251,10 @@ def gram_counts(texts: DataFrame, items: Items) -> dict[int, int]:
         yield pa.RecordBatch.from_pydict({"hash": pa.array(known.hashes[some].view(np.int64)), "n": pa.array(totals[some])})
 
     counted = texts.select("text").mapInArrow(count, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
-    return {r["hash"]: r["n"] for r in counted.collect()}  # a row for each n-gram of the block at most
+    found = counted.toArrow()
+    hashes = found.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], found.column("n").to_numpy()[order]
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

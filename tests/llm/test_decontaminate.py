@@ -75,6 +75,29 @@ def test_odd_rows(spark):
     assert without_contaminated(docs, benchmark.limit(0)).count() == 7
 
 
+def test_long_runs_of_long_items(spark):
+    """A run of 40 words of an item of 200 is found though it is a fifth of it; one of 20 is not; nor is a run that is broken all the time."""
+    rng = random.Random(9)
+    item = [f"w{k}" for k in range(200)]
+    def noise(n):
+        return [f"n{rng.randrange(5000)}" for _ in range(n)]
+    docs = [(1, noise(50) + item[60:100] + noise(50)), (2, noise(50) + item[60:80] + noise(50)), (3, [x for w in item[:60] for x in (w, *noise(2))]), (4, item), (5, noise(9) + item[170:])]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in contaminated(df, spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")).collect()}
+    assert got == {1: 0.2, 4: 1.0, 5: 0.15}
+
+
+def test_short_items_are_found_whole(spark):
+    """Items of one or two words are found as they are if they are long enough to say something."""
+    rows = [(1, "これは空白のない文章です"), (2, "extraordinarily unremarkable"), (3, "yes"), (4, "of the"), (5, "extraordinarily unremarkable")]
+    docs = spark.createDataFrame([(1, "x. これは空白のない文章です! これは空白のない文章です"), (2, "an Extraordinarily, unremarkable day"), (3, "yes, of the"), (4, "unremarkable extraordinarily"), (5, None)],
+                                 "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(rows, "item_id bigint, text string")
+    got = sorted(tuple(r) for r in contaminated(docs, benchmark).collect())
+    assert got == [(1, 1, 1.0, 2, 3), (2, 2, 1.0, 1, 3), (2, 5, 1.0, 1, 3)]
+    assert sorted(r.doc_id for r in without_contaminated(docs, benchmark).collect()) == [3, 4, 5]
+
+
 def test_query_against_plain_alignment(spark, tmp_path):
     rng = random.Random(6)
     vocabulary = [f"w{i}" for i in range(400)]
