@@ -106,17 +106,17 @@ def disk_parse(lines: DataFrame) -> DataFrame:
     return parsed.where(known).select(*names, "device", "size", "used", "available", "mount", "used_pct")
 
 
-def disk_breaches(parsed: DataFrame, rules: DataFrame) -> DataFrame:
+def disk_breaches(parsed: DataFrame, rules: DataFrame, hosts: DataFrame | None = None) -> DataFrame:
     """Watched mounts at or over their limit. Of several rules the longest host suffix counts.
 
-    Rules are looked up for the distinct hosts and mounts only: each host is turned into all its suffixes, which
-    meet the rules in an equi join on mount and suffix, and the longest one that is found stays.
+    Rules are looked up for the distinct hosts only (``hosts`` has them where they can be read without parsing lines): each host is turned into all its suffixes, which
+    meet the rules in an equi join, and for every mount the longest suffix stays.
     """
-    places = parsed.select("host", "mount").where("host IS NOT NULL").distinct()
+    hosts = (parsed if hosts is None else hosts).select("host").where("host IS NOT NULL").distinct()
     ends = F.explode(F.transform(F.sequence(F.lit(0), F.length("host")), lambda n: F.right("host", n)))
-    named = places.select("host", "mount", ends.alias("host_suffix"))
+    named = hosts.select("host", ends.alias("host_suffix"))
     rule = F.struct(F.length("host_suffix").alias("width"), "min_pct")
-    found = named.join(rules.select("mount", "host_suffix", "min_pct"), ["mount", "host_suffix"]).groupBy("host", "mount").agg(
+    found = named.join(rules.select("mount", "host_suffix", "min_pct"), "host_suffix").groupBy("host", "mount").agg(
         F.max(rule)["min_pct"].alias("min_pct")
     )
     joined = parsed.join(found, ["host", "mount"])
@@ -134,5 +134,5 @@ def disk_report(lines: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFram
 
     Lines carry ``host``, ``report_ts``, ``line_no`` and ``line``.
     """
-    breaches = disk_breaches(disk_parse(lines), rules)
+    breaches = disk_breaches(disk_parse(lines), rules, lines)
     return breaches, disk_texts(breaches, ["host", "report_ts"], ["line_no"])
