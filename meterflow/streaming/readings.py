@@ -10,11 +10,11 @@ the newest time of all batches before, to which horizon and retention are measur
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
+from operator import itemgetter
 
-import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -29,18 +29,28 @@ DELAY_DAYS = 7300
 DAY_MS = 86_400_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-# stands for a missing number, so that numbers stay whole in pandas
+# stands for a missing number, also in the state; it is smaller than all others
 NONE = -(1 << 63)
 NUMBERS = ("clock", *COUNTERS)
 LATE = T.StructType([T.StructField("id", T.LongType()), T.StructField("subscriber_number", T.StringType()), T.StructField("end_date", T.TimestampNTZType())])
 
 _ROW = "subscriber_number string, id bigint, end_us bigint, terminal_status string, " + ", ".join(f"{c} bigint" for c in NUMBERS)
-_OUT = f"{_ROW}, {', '.join(f'lag_{c} bigint, st_{c} bigint' for c in NUMBERS)}, late boolean"
+_OUT = f"{_ROW}, {', '.join(f'prev_{c} bigint' for c in NUMBERS)}, late boolean"
 _STATE = "end_us bigint, id bigint, " + ", ".join(f"{c} bigint" for c in NUMBERS)
+_IN = ("subscriber_number", "id", "end_us", "terminal_status", *NUMBERS)
+_Out = Row(*_IN, *[f"prev_{c}" for c in NUMBERS], "late")
+
+
+def _of_numbers(row: Row) -> tuple:
+    return tuple(row[c] for c in NUMBERS)
 
 
 class LastReading(StatefulProcessor):
-    """Gives each reading of a subscriber the one before it in its batch, and the last one of earlier batches."""
+    """Gives each reading of a subscriber the one before it: in its batch, or else the last one of earlier batches.
+
+    Most subscribers have a few readings in a batch, so what counts is the cost of a subscriber: plain rows instead of pandas tables, and
+    two calls to the state store. A timer is set once; when it fires and there is a newer reading, it is set again for that one.
+    """
 
     def __init__(self, horizon_days: int, retain_days: int) -> None:
         self.horizon = horizon_days * DAY_MS * 1000
@@ -54,46 +64,49 @@ class LastReading(StatefulProcessor):
         """When, by the watermark that is held back, a reading is older than the retention time."""
         return (end_us + self.retain) // 1000 - DELAY_DAYS * DAY_MS
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values(["end_us", "id"], kind="stable")
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         held = timerValues.getCurrentWatermarkInMs()
         newest = (held + DELAY_DAYS * DAY_MS) * 1000 if held > 0 else None
-        timed = frame["end_us"] != NONE
-        late = timed & (frame["end_us"] < newest - self.horizon) if newest is not None else timed & False
-        kept = self.last.get() if self.last.exists() else None
-        before = kept
-        if before is not None and newest is not None and newest - before[0] >= self.retain:
-            before = None
+        timed, untimed, late = [], [], []
+        for row in sorted(rows, key=itemgetter("end_us", "id")):
+            if row["end_us"] == NONE:
+                untimed.append(row)
+            elif newest is not None and row["end_us"] < newest - self.horizon:
+                late.append(row)
+            else:
+                timed.append(row)
+        kept = self.last.get()
+        self._remember(kept, timed)
+        nothing = (NONE,) * len(NUMBERS)
+        known = nothing if kept is None or (newest is not None and newest - kept[0] >= self.retain) else tuple(kept[2:])
+        before = nothing
         # rows without a time come last, as in the batch
-        frame = pd.concat([frame[timed & ~late], frame[~timed], frame[late]])
-        n_late = int(late.sum())
-        on_time = len(frame) - n_late
-        out = {c: frame[c].to_numpy() for c in ("subscriber_number", "id", "end_us", "terminal_status", *NUMBERS)}
-        for place, c in enumerate(NUMBERS):
-            lag = np.full(len(frame), NONE, np.int64)
-            lag[1:on_time] = out[c][: max(0, on_time - 1)]
-            out[f"lag_{c}"] = lag
-            value = before[place + 2] if before is not None else NONE
-            out[f"st_{c}"] = np.full(len(frame), value, np.int64)
-        out["late"] = np.arange(len(frame)) >= on_time
-        self._remember(kept, frame[: int((timed & ~late).sum())])
-        yield pd.DataFrame(out)
-
-    def _remember(self, kept: tuple | None, rows: pd.DataFrame) -> None:
-        if not len(rows):
+        for row in chain(timed, untimed):
+            # where the reading before lacks a number, that of the state counts
+            yield _Out(*[row[c] for c in _IN], *[k if b == NONE else b for b, k in zip(before, known)], False)
+            before = _of_numbers(row)
+        for row in late:
+            yield _Out(*[row[c] for c in _IN], *known, True)
+
+    def _remember(self, kept: tuple | None, timed: list[Row]) -> None:
+        if not timed:
             return
-        row = rows.iloc[-1]
-        new = tuple(int(row[c]) for c in ("end_us", "id", *NUMBERS))
-        if kept is not None:
-            # of equal times the newer batch counts
-            if kept[0] > new[0]:
-                return
-            self.handle.deleteTimer(self._timer(kept[0]))
-        self.last.update(new)
-        self.handle.registerTimer(self._timer(new[0]))
+        row = timed[-1]
+        # of equal times the newer batch counts
+        if kept is not None and kept[0] > row["end_us"]:
+            return
+        self.last.update((row["end_us"], row["id"], *_of_numbers(row)))
+        if kept is None:
+            self.handle.registerTimer(self._timer(row["end_us"]))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        kept = self.last.get()
+        if kept is not None:
+            due = self._timer(kept[0])
+            if due > timerValues.getCurrentWatermarkInMs():
+                self.handle.registerTimer(due)
+            else:
+                self.last.clear()
         yield from ()
 
     def close(self) -> None:
@@ -105,7 +118,7 @@ def _number(name: str) -> Column:
 
 
 def with_last_reading(log: DataFrame, horizon_days: int = HORIZON_DAYS, retain_days: int = RETAIN_DAYS) -> DataFrame:
-    """A stream of usable readings with the readings before them (lag_*, st_*) and ``late``, as whole numbers with ``NONE`` for missing ones."""
+    """A stream of usable readings with the numbers of the readings before them (prev_*) and ``late``, as whole numbers with ``NONE`` for missing ones."""
     micros = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', end_date)")
     numbers = [F.coalesce(F.col(c), F.lit(NONE)).alias(c) for c in NUMBERS]
     rows = log.select(
@@ -113,21 +126,20 @@ def with_last_reading(log: DataFrame, horizon_days: int = HORIZON_DAYS, retain_d
         F.timestamp_micros(micros).alias("event_time"),
     ).withWatermark("event_time", f"{DELAY_DAYS} days")
     grouped = rows.select("subscriber_number", "id", "end_us", "terminal_status", *NUMBERS, "event_time").groupBy("subscriber_number")
-    return grouped.transformWithStateInPandas(LastReading(horizon_days, retain_days), _OUT, "Update", "EventTime")
+    return grouped.transformWithState(LastReading(horizon_days, retain_days), _OUT, "Update", "EventTime")
 
 
 def _read_back(rows: DataFrame) -> DataFrame:
     """Readings with missing numbers and the columns that usage is calculated from."""
     end = F.expr("timestampadd(MICROSECOND, end_us, timestamp_ntz'1970-01-01 00:00:00')")
     plain = rows.select("subscriber_number", _number("id").alias("id"), F.when(F.col("end_us") != NONE, end).alias("end_date"), "terminal_status", "late",
-                        *[_number(c).alias(c) for c in (*NUMBERS, *[f"{kind}_{c}" for c in NUMBERS for kind in ("lag", "st")])])
+                        *[_number(c).alias(c) for c in (*NUMBERS, *[f"prev_{c}" for c in NUMBERS])])
     zero = F.lit(0).cast("bigint")
     anytime, offpeak, tokens = COUNTERS
     return plain.withColumns({
-        "prev_clock": F.coalesce("lag_clock", "st_clock"),
-        "prev_usage": F.coalesce(f"lag_{anytime}", f"st_{anytime}", zero),
-        "prev_offpeak": F.coalesce(f"lag_{offpeak}", f"st_{offpeak}", zero),
-        "prev_tokens": F.coalesce(f"lag_{tokens}", f"st_{tokens}", zero),
+        "prev_usage": F.coalesce(f"prev_{anytime}", zero),
+        "prev_offpeak": F.coalesce(f"prev_{offpeak}", zero),
+        "prev_tokens": F.coalesce(f"prev_{tokens}", zero),
     })
 
 
@@ -145,7 +157,7 @@ def usage_by_state(
 
     As ``usage_from_log``, but what was read before is in the state store of the stream and not in a table. Readings that are more than ``horizon_days`` older than the newest of the batches
     before go to ``late``, for a repair; a subscriber's reading is forgotten ``retain_days`` after it. All of a subscriber's readings of a batch
-    come to one task as arrays of numbers, so ``max_files`` bounds a task.
+    come to one task as rows, so ``max_files`` bounds a task.
     """
     reader = spark.readStream.schema(schema)
     if max_files:

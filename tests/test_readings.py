@@ -3,6 +3,8 @@
 import datetime as dt
 import time
 
+from pyspark.sql import Row
+
 from meterflow.plans import usage
 from meterflow.schemas import COUNTER_STATE, USAGE_RESULT
 from meterflow.sources.tables import write_parquet
@@ -75,3 +77,59 @@ def test_a_hot_subscriber(spark, tmp_path):
     got = VersionedTables(spark, f"{tmp_path}/t").read("increments", USAGE_RESULT)
     want = usage.usage_increments(made, spark.createDataFrame([], COUNTER_STATE))
     assert got.count() == 300_000 and got.exceptAll(want).isEmpty() and took < 90
+
+
+class Calls:
+    """A state store that notes what is asked of it."""
+
+    def __init__(self):
+        self.made, self.value, self.timers = [], None, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.made.append("get")
+        return self.value
+
+    def update(self, value):
+        self.made.append("update")
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.made.append("timer")
+        self.timers.append(at)
+
+
+class At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_a_subscriber_costs_two_calls_a_batch():
+    """Also the timer is set once, and again only when it fires too early."""
+    store, last = Calls(), readings.LastReading(31, 40)
+    last.init(store)
+    names = ("subscriber_number", "id", "end_us", "terminal_status", *readings.NUMBERS)
+    day_us = readings.DAY_MS * 1000
+    start = 20_000 * day_us
+
+    def row(i, day):
+        return Row(*names)("s", i, start + day * day_us, "normal", i, 10 * i, 10 * i, readings.NONE)
+
+    first = list(last.handleInputRows(("s",), iter([row(2, 2), row(1, 1)]), At(0)))
+    assert [(r.id, r.prev_clock) for r in first] == [(1, readings.NONE), (2, 1)] and store.made == ["get", "update", "timer"]
+    store.made.clear()
+    second = list(last.handleInputRows(("s",), iter([row(3, 30)]), At(0)))
+    assert [(r.id, r.prev_clock, r.late) for r in second] == [(3, 2, False)] and store.made == ["get", "update"]
+    fires = store.timers[0]
+    list(last.handleExpiredTimer(("s",), At(fires), None))
+    assert store.value[1] == 3 and len(store.timers) == 2 and store.timers[1] == fires + 28 * readings.DAY_MS
+    list(last.handleExpiredTimer(("s",), At(store.timers[1]), None))
+    assert store.value is None and len(store.timers) == 2
