@@ -13,6 +13,10 @@ without a sketch (written before there were any, or put together since) are alwa
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +29,7 @@ BUCKETS = 64
 HASHES = 6
 BITS_PER_ID = 16
 LEAST_WORDS = 16
+MOST_BROADCAST = 200_000
 SKETCH = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("words", T.ArrayType(T.LongType()))])
 
 
@@ -37,47 +42,81 @@ def _hashed(ids: DataFrame) -> DataFrame:
     )
 
 
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of the buckets of a partition; what a task holds is as large as what it returns."""
+    words: dict[int, np.ndarray] = {}
+    for batch in batches:
+        bucket, h1, h2, n_words = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(4))
+        for b in np.unique(bucket):
+            own = bucket == b
+            n = int(n_words[own][0])
+            bits = words.setdefault(int(b), np.zeros(n, np.uint64))
+            at = (h1[own, None] + np.arange(HASHES) * h2[own, None]).ravel() % (n * 64)
+            np.bitwise_or.at(bits, at // 64, np.uint64(1) << (at % 64).astype(np.uint64))
+    for b, bits in words.items():
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "words": pa.array([bits.view(np.int64)], pa.list_(pa.int64()))})
+
+
 def sketch(rows: DataFrame) -> DataFrame:
     """A Bloom filter for each bucket of the ids of ``rows``, as words of 64 bits."""
     ids = _hashed(rows)
     sizes = ids.groupBy("bucket").agg(F.greatest(F.lit(LEAST_WORDS), F.ceil(F.count(F.lit(1)) * BITS_PER_ID / F.lit(64))).cast("bigint").alias("n_words"))
-    places = ids.join(sizes, "bucket").select("bucket", F.explode(F.expr(f"transform(sequence(0, {HASHES - 1}), k -> pmod(h1 + k * h2, n_words * 64))")).alias("at"))
-    bits = places.select("bucket", F.expr("at div 64").alias("word"), F.expr("shiftleft(1L, cast(at % 64 AS int))").alias("bits"))
-    empty = sizes.select("bucket", F.explode(F.expr("sequence(0L, n_words - 1)")).alias("word"), F.lit(0).cast("bigint").alias("bits"))
-    words = bits.unionByName(empty).groupBy("bucket", "word").agg(F.bit_or("bits").alias("bits"))
-    return words.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("word", "bits")))["bits"].alias("words"))
+    dealt = ids.join(F.broadcast(sizes), "bucket").select("bucket", "h1", "h2", "n_words").repartition("bucket")
+    return dealt.mapInArrow(_bits, SKETCH)
+
+
+def _hits(sketches: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, ``commit``) of the ids that a batch may hold by its sketch."""
+    # each place by itself and not in a loop, so that the test is compiled and ends at the first bit that is not set
+    places = [f"pmod(h1 + {k} * h2, cast(size(words) AS bigint) * 64)" for k in range(HASHES)]
+    held = F.expr(" AND ".join(f"(shiftright(get(words, cast({p} div 64 AS int)), cast({p} % 64 AS int)) & 1L) = 1L" for p in places))
+    right = sketches.withColumnRenamed("bucket", "_bucket")
+    return _hashed(ids).join(right, (F.col("_bucket") == F.col("bucket")) & held).select(ID, "commit")
 
 
 def batches_with(sketches: DataFrame, ids: DataFrame) -> list[str]:
     """The batches (``commit``) whose sketch may hold one of the ids. The driver gets names of batches."""
-    place = "pmod(h1 + k * h2, cast(size(words) AS bigint) * 64)"
-    held = F.expr(f"forall(sequence(0, {HASHES - 1}), k -> (shiftright(get(words, cast({place} div 64 AS int)), cast({place} % 64 AS int)) & 1L) = 1L)")
-    left, right = sketches.withColumnRenamed("bucket", "_bucket"), _hashed(ids)
-    hit = left.join(right, (F.col("_bucket") == F.col("bucket")) & held, "left_semi")
-    return sorted(r["commit"] for r in hit.select("commit").distinct().collect())
+    return sorted(r["commit"] for r in _hits(sketches, ids).select("commit").distinct().collect())
 
 
-def versions_of(store: VersionedTables, stage: DataFrame, state: State | None = None) -> tuple[DataFrame, list[str]]:
-    """All versions that the history has of the snapshot's sessions, and the batches of the history that had to be read for them."""
-    state = state or store.state()
-    ids = stage.where(F.col(ID).isNotNull()).select(ID).distinct()
-    live = store.read("live", SESSION_HISTORY, state).join(ids, ID, "left_semi").select(*SESSION_HISTORY.names)
+def _ids(stage: DataFrame) -> DataFrame:
+    return stage.where(F.col(ID).isNotNull()).select(ID).distinct()
+
+
+def known_of(store: VersionedTables, stage: DataFrame, state: State) -> tuple[DataFrame, list[str]]:
+    """``live`` with what older batches have of the snapshot's sessions: all their versions, and of sessions that have gone some; and the batches of the history that had to be read.
+
+    Of batches with a sketch only ids that the sketch may hold are looked up, a few in a thousand of those that are new.
+    """
+    live = store.read("live", SESSION_HISTORY, state)
     parts = state.parts.get("history", [])
     if not parts:
         return live, []
-    away = ids.join(live.select(ID).distinct(), ID, "left_anti")
+    away = _ids(stage).join(live.select(ID).distinct(), ID, "left_anti")
     names = {p.partition("/")[0]: p for p in parts}
     sketched = {p.partition("/")[0] for p in state.parts.get("sketches", [])}
-    found = batches_with(store.read_with_commit("sketches", SKETCH, state), away) if sketched else []
-    wanted = [names[f"commit={c}"] for c in found if f"commit={c}" in names]
-    wanted += [p for p in parts if p.partition("/")[0] not in sketched]
-    if not wanted:
-        return live, []
-    back = store.read_parts("history", SESSION_HISTORY, wanted).join(away, ID, "left_semi").select(*SESSION_HISTORY.names)
-    return live.unionByName(back), wanted
+    sketches = store.read_with_commit("sketches", SKETCH, state)
+    hits = _hits(sketches, away).distinct()
+    found = hits.groupBy("commit").count().collect() if sketched else []
+    held = sorted(names[f"commit={r['commit']}"] for r in found if f"commit={r['commit']}" in names)
+    plain = [p for p in parts if p.partition("/")[0] not in sketched]
+    # few ids go to the history, many and the history to each other
+    some = hits.select(ID).distinct()
+    some = F.broadcast(some) if sum(r["count"] for r in found) <= MOST_BROADCAST else some
+    for wanted, ids in ((held, some), (plain, away)):
+        if wanted:
+            back = store.read_parts("history", SESSION_HISTORY, wanted).join(ids, ID, "left_semi").select(*SESSION_HISTORY.names)
+            live = live.unionByName(back)
+    return live, held + plain
+
+
+def versions_of(store: VersionedTables, stage: DataFrame, state: State | None = None) -> tuple[DataFrame, list[str]]:
+    """All versions that the history has of the snapshot's sessions, and the batches of the history that had to be read for them."""
+    known, wanted = known_of(store, stage, state or store.state())
+    return known.join(_ids(stage), ID, "left_semi").select(*SESSION_HISTORY.names), wanted
 
 
 def next_live(known: DataFrame, delta: DataFrame, stage: DataFrame) -> DataFrame:
     """All versions of the sessions of the snapshot once its changes are added."""
-    ids = stage.where(F.col(ID).isNotNull()).select(ID).distinct()
-    return known.unionByName(delta.select(*SESSION_HISTORY.names).join(ids, ID, "left_semi").select(*SESSION_HISTORY.names))
+    both = known.unionByName(delta.select(*SESSION_HISTORY.names))
+    return both.join(_ids(stage), ID, "left_semi").select(*SESSION_HISTORY.names)

@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 from meterflow.functions.expr import ntz
 from meterflow.operators import summaries
 from meterflow.operators.changes import insertable, retain
-from meterflow.plans.history import next_live, sketch, versions_of
+from meterflow.plans.history import known_of, next_live, sketch
 from meterflow.plans.sessions import analysis_view, changes_delta, session_stage
 from meterflow.plans.usage import RETAIN_DAYS, next_state, usage_increments
 from meterflow.schemas import COUNTER_STATE, ETL_DAY, METER_RECORD, RUN_COUNTS, SESSION_HISTORY, SESSION_STAGE, SNAPSHOT
@@ -204,19 +204,27 @@ def _snapshots(rows: DataFrame) -> Iterator[DataFrame]:
 def _add_changes(
     store: VersionedTables, snapshot: DataFrame, batch: int, stream: str, latest_only: bool, offsets: dict[str, int] | None = None
 ) -> None:
-    """A snapshot's changes into ``history`` and ``analysis``, with the tables that spare the next snapshot the history (``live``, ``sketches``)."""
+    """A snapshot's changes into ``history`` and ``analysis``, with the tables that spare the next snapshot the history (``live``, ``sketches``).
+
+    The changes are calculated once, as they are written to ``history``; the other tables are made from the columns they need of these files.
+    """
     before = store.state()
+    if before.streams.get(stream, -1) >= batch:
+        return
     stage = session_stage(snapshot).persist(StorageLevel.MEMORY_AND_DISK)
-    known = versions_of(store, stage, before)[0].persist(StorageLevel.MEMORY_AND_DISK)
-    delta = changes_delta(stage, known, latest_only).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = delta.drop("new_ind")
-        changes = {"history": rows, "analysis": analysis_view(delta), "sketches": sketch(rows)}
-        live = {"live": next_live(known, rows, stage)}
-        store.publish(batch, append=changes, replace=live, stream=stream, offsets=offsets, reads=("history", "live"), since=before)
+        known = known_of(store, stage, before)[0]
+        name = store.part_name(stream, batch)
+        written = lambda: store.read_parts("history", SESSION_HISTORY, [name])
+        changes = {
+            "history": changes_delta(stage, known, latest_only).drop("new_ind"),
+            "analysis": lambda: analysis_view(written()),
+            "sketches": lambda: sketch(written()),
+        }
+        live = {"live": lambda: next_live(known, written(), stage)}
+        store.publish(batch, append=changes, replace=live, stream=stream, offsets=offsets, reads=("history", "live"), since=before, name=name)
     finally:
-        for df in (delta, known, stage):
-            df.unpersist()
+        stage.unpersist()
 
 
 # --- jobs that follow other jobs -----------------------------------------------------------

@@ -76,3 +76,24 @@ def test_batches_without_sketch_are_read(spark, tmp_path):
     assert len(parts) == 1 and sorted(r.acctuniqueid for r in known.collect()) == ["a", "b"]
     write_parquet(snapshot(spark, 4, []), str(tmp_path / "in"))
     assert history.versions_of(store, sessions.session_stage(snapshot(spark, 4, [])))[0].isEmpty()
+
+
+def test_of_old_batches_only_ids_that_a_sketch_may_hold(spark, tmp_path):
+    """A snapshot of new sessions: a false hit reads a batch, but the batch is not dealt by id for it, and what is known is read from files."""
+    store = VersionedTables(spark, str(tmp_path / "t"))
+    jobs._add_changes(store, snapshot(spark, 1, [(f"a{k}", "u", k) for k in range(2000)]), 0, "s", False)
+    jobs._add_changes(store, snapshot(spark, 2, [("b", "u", 1)]), 1, "s", False)
+    stage = sessions.session_stage(snapshot(spark, 3, [("a7", "u", 9), *[(f"c{k}", "u", k) for k in range(3000)]]))
+    known, read = history.known_of(store, stage, store.state())
+    assert len(read) >= 1 and known.where("acctuniqueid = 'a7'").count() == 1 and known.count() <= 30
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [acctuniqueid" in plan and "InMemoryTableScan" not in plan
+
+
+def test_a_snapshot_is_written_once_and_known_rows_are_calculated_once(spark, tmp_path, monkeypatch):
+    """All tables but the history are made from the part of the history that was written."""
+    store, made = VersionedTables(spark, str(tmp_path / "t")), []
+    monkeypatch.setattr(jobs, "sketch", lambda rows: made.append(rows.inputFiles()) or history.sketch(rows))
+    jobs._add_changes(store, snapshot(spark, 1, [("a", "u", 1), ("b", "u", 2)]), 0, "s", False)
+    assert made and all("/history/commit=s-0-" in f for f in made[0])
+    assert store.read("analysis", SESSION_HISTORY).count() == store.read("live", SESSION_HISTORY).count() == 2
