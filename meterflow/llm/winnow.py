@@ -15,7 +15,7 @@ a passage inside a longer text go as the first ones do.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterflow.llm.shared import stored
@@ -26,17 +26,7 @@ SURE_WORDS = 40
 ENDS = [". ", "! ", "? ", "\n"]
 CUT = r"(?<=[.!?] )|(?<=\n)"
 MARK = "\x01"
-
-
-def _run_lengths(least: int) -> Column:
-    """From each line on, how many lines it takes to have ``least`` words (every line has one or more); 0 if they never do.
-
-    A few lines are tried first, as they mostly suffice; then as many as could be needed.
-    """
-    step = f"(a, w) -> if(a.s < {least}, named_struct('n', a.n + 1, 's', a.s + w), a)"
-    reached = f"aggregate(slice(words, i, {{n}}), named_struct('n', 0, 's', 0), {step}, a -> if(a.s < {least}, NULL, a.n))"
-    tries = ", ".join(reached.format(n=n) for n in (-(-least // 4), least))
-    return F.expr(f"transform(sequence(1, size(words)), i -> coalesce({tries}, 0))")
+BLANKS = " \t\n"
 
 
 def _with_version(docs: DataFrame) -> DataFrame:
@@ -44,82 +34,104 @@ def _with_version(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_version", F.hash(F.col("text").cast("string")))
 
 
-def _pieces() -> Column:
-    """The text cut after each of ``ENDS``. Marks are put in and split at, which is much faster than the pattern; a text that holds the mark takes the pattern."""
-    text = F.col("text").cast("string")
-    marked = text
+def _marked() -> Column:
+    """The text with a mark after each of ``ENDS``."""
+    marked = F.col("text").cast("string")
     for end in ENDS:
         marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
-    return F.when(F.contains(text, F.lit(MARK)), F.split(text, CUT, -1)).otherwise(F.split(marked, MARK, -1))
-
+    return marked
 
-def _with_runs(docs: DataFrame, gram_words: int, tails: bool) -> DataFrame:
-    """The rows with _pieces (the text in parts), _lines (those that are not blank, without outer space) and _at (which piece each is), words (of each line), short (lines to a gram), starts (how many places have a gram) and tails (first and last line of each further gram)."""
-    pieces = docs.withColumn("_pieces", _pieces())
-    trimmed = "transform(_pieces, (p, k) -> named_struct('at', k, 'line', btrim(p, ' \\t\\n')))"
-    # (an array that a lambda reads must be named twice, or the optimizer moves its making into the lambda)
-    lines = pieces.withColumn("_filled", F.expr(f"filter({trimmed}, x -> x.line <> '')")).withColumn("_lines", F.col("_filled.line")).withColumn("_at", F.col("_filled.at"))
-    words = lines.withColumn("words", F.expr("transform(_lines, p -> octet_length(p) - octet_length(replace(p, ' ', '')) + 1)"))
-    runs = words.withColumn("short", _run_lengths(gram_words))
-    # the places with a gram are the first ones
-    runs = runs.withColumn("starts", F.expr("size(filter(short, n -> n > 0))"))
-    return runs.withColumn("tails", F.expr(_TAILS if tails else _LAST))
 
+def _pieces() -> Column:
+    """The text cut after each of ``ENDS``. Marks are put in and split at, which is much faster than the pattern; a text that holds the mark takes the pattern."""
+    text = F.col("text").cast("string")
+    return F.when(F.contains(text, F.lit(MARK)), F.split(text, CUT, -1)).otherwise(F.split(_marked(), MARK, -1))
 
-# A gram from the last place with one to the text's end, which holds all lines from there on.
-_LAST = """
-if(starts > 0 AND starts + get(short, starts - 1) <= size(short), array(named_struct('a', starts, 'b', size(short))), cast(array() AS array<struct<a: int, b: int>>))
-"""
 
-# The shortest gram that ends at a line begins at the last place whose gram ends there or before. Where it ends there, the two are one.
-_TAILS = """
-if(starts = 0, cast(array() AS array<struct<a: int, b: int>>), flatten(transform(sequence(1, starts), i -> transform(
-    slice(sequence(1, size(short)), i + short[i - 1], greatest(0, if(i < starts, i + get(short, i), size(short) + 1) - i - short[i - 1])),
-    j -> named_struct('a', i, 'b', j)))))
-"""
+def _n_pieces() -> Column:
+    """How many pieces there are, without making them."""
+    text = F.col("text").cast("string")
+    return F.when(F.contains(text, F.lit(MARK)), F.size(_pieces())).otherwise(F.octet_length(_marked()) - F.octet_length(text) + 1)
 
 
-def fingerprinted(docs: DataFrame, gram_words: int, sure_words: int, tails: bool = False) -> DataFrame:
-    """id, version, grams (hash of the gram from each line on, then of the further ones), prints (hashes of the fingerprints), again (places of grams that the document had before)."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    runs = _with_runs(_with_version(texts.where("id IS NOT NULL AND text RLIKE '[^ \\\\t\\\\n]'")), gram_words, tails)
-    grams = runs.withColumn("long", _run_lengths(sure_words)).withColumn("hashes", F.transform("_lines", lambda p: F.xxhash64(p)))
-    grams = grams.withColumn("grams", F.expr(_GRAMS))
-    sorted_ = "if(size(array_distinct(grams)) < size(grams), array_sort(transform(grams, (g, i) -> named_struct('hash', g, 'at', i + 1))), NULL)"
-    # (no filter on any of these arrays: it would be pushed below and make them again in its own lambdas)
-    grams = grams.withColumn("sorted", F.expr(sorted_))
-    return grams.select("id", F.col("_version").alias("version"), "grams", F.expr(_PRINTS).alias("prints"), F.expr(_AGAIN).alias("again"))
+def _lines(docs: DataFrame) -> DataFrame:
+    """id, version, words and hashes of the lines that are not blank, without outer space; total (all words), repeats (whether a line comes twice)."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text")).where("id IS NOT NULL AND length(text) > 0")
+    # (an array that a lambda reads must be named twice, or the optimizer moves its making into the lambda)
+    trimmed = F.transform(_pieces(), lambda p: F.btrim(p, F.lit(BLANKS)))
+    lines = _with_version(texts).withColumn("_lines", F.filter(trimmed, lambda x: x != ""))
+    words = F.expr("transform(_lines, x -> octet_length(x) - octet_length(replace(x, ' ', '')) + 1)")
+    lines = lines.select("id", F.col("_version").alias("version"), words.alias("words"), F.transform("_lines", lambda x: F.xxhash64(x)).alias("hashes"))
+    total = F.aggregate("words", F.lit(0).cast("bigint"), lambda n, w: n + w)
+    return lines.withColumns({"total": total, "repeats": F.size(F.array_distinct("hashes")) < F.size("hashes")})
 
 
-_GRAMS = """
-concat(transform(filter(sequence(1, size(hashes)), i -> i <= starts), i -> xxhash64(slice(hashes, i, short[i - 1]))),
-       transform(tails, t -> xxhash64(slice(hashes, t.a, t.b - t.a + 1))))
-"""
+def _with_grams(lines: DataFrame, gram_words: int, tails: bool) -> DataFrame:
+    """A row for each line: id, version, place (from 0), before (the words before it), and
 
-# For each place with a sure run the smallest gram inside it; all grams of a shorter document are one choice.
-_PRINTS = """
-if(size(grams) = 0, cast(array() AS array<bigint>), if(long[0] = 0, array(array_min(grams)), array_distinct(transform(
-    filter(sequence(1, starts), i -> long[i - 1] > 0),
-    i -> array_min(slice(grams, i, size(filter(
-        sequence(i, i + long[i - 1] - 1), j -> j <= starts AND j + short[j - 1] <= i + long[i - 1]))))))))
-"""
+    gram (hash) of the shortest run of lines with ``gram_words`` words from it on, last (that run's last line); tail (hash) of the one up to it, if no gram from its first line on
+    ends there, first (its first line); other columns of ``lines``.
 
-_AGAIN = """
-if(sorted IS NULL, cast(array() AS array<int>), filter(transform(
-    sequence(1, size(grams) - 1), k -> if(sorted[k].hash = sorted[k - 1].hash, sorted[k].at, NULL)), at -> at IS NOT NULL))
-"""
+    A run with a number of words is a range of the words before a line. Windows are within one text, by which the arrays of its lines are dealt: lines are not shuffled once more.
+    """
+    whole = lines.dropDuplicates(["id", "version"])
+    rows = whole.select(*[c for c in lines.columns if c not in ("words", "hashes")], F.posexplode(F.arrays_zip("words", "hashes")).alias("place", "_line"))
+    # (columns that cannot be missing are cheaper in windows)
+    rows = rows.withColumns({"words": F.coalesce(F.col("_line.words").cast("bigint"), F.lit(0)), "line": F.coalesce("_line.hashes", F.lit(0))}).drop("_line")
+    text = Window.partitionBy("id", "version")
+    upto = F.coalesce(F.sum("words").over(text.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0))
+    rows = rows.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("words")).drop("words")
+    onward, back = text.orderBy("before"), text.orderBy("upto")
+    rows = rows.withColumn("_run", F.collect_list("line").over(back.rangeBetween(1 - gram_words, 0)))
+    rows = rows.withColumn("first", F.col("place") - F.size("_run") + 1)
+    # where the line before has such a run from the same line on, the gram from there ends earlier
+    further = (F.col("before") >= gram_words) & (F.lag("first").over(back) == F.col("first"))
+    if not tails:  # only from the last place with a gram to the text's end
+        further &= F.col("upto") == F.col("total")
+    rows = rows.withColumn("_further", further).withColumn("tail", F.when(F.col("_further"), F.xxhash64("_run"))).drop("_run", "_further", "upto")
+    rows = rows.withColumn("_run", F.collect_list("line").over(onward.rangeBetween(0, gram_words - 1)))
+    return rows.withColumn("gram", F.when(F.col("total") - F.col("before") >= gram_words, F.xxhash64("_run"))).withColumn("last", F.col("place") + F.size("_run") - 1).drop("_run", "line")
+
+
+def fingerprints(lines: DataFrame, gram_words: int, sure_words: int, tails: bool = False) -> DataFrame:
+    """id, hash: of each run with ``sure_words`` words the smallest gram that begins and ends in it, of a shorter text the smallest of all."""
+    rows = _with_grams(lines.select("id", "version", "words", "hashes", "total").repartition("id", "version"), gram_words, tails)
+    onward = Window.partitionBy("id", "version").orderBy("before")
+    sure = onward.rangeBetween(0, sure_words - 1)
+    # (a shorter text is within the sure run from its first line on)
+    short = F.col("total") < sure_words
+    rows = rows.withColumns({"_begun": F.collect_list(F.when(short, F.least("gram", "tail")).otherwise(F.col("gram"))).over(sure), "_until": F.max("first").over(sure)})
+    # the last gram that ends in the run begins where the shortest run up to its last line does
+    inside = F.array_min(F.slice("_begun", F.lit(1), F.col("_until") - F.col("place") + 1))
+    least = F.when(F.col("place") == 0, F.array_min("_begun"))
+    rows = rows.withColumn("hash", F.when(short, least).when(F.col("total") - F.col("before") >= sure_words, inside))
+    # (neighbours mostly choose the same)
+    rows = rows.select("id", "hash", (~F.col("hash").eqNullSafe(F.lag("hash").over(onward))).alias("_new"))
+    return rows.where("hash IS NOT NULL AND _new").select("id", "hash")
+
+
+def grams(lines: DataFrame, gram_words: int, tails: bool = False) -> DataFrame:
+    """A row for each gram: id, version, shared, a and b (its first and last line, from 0), hash, again (whether the document had the gram before)."""
+    rows = _with_grams(lines, gram_words, tails)
+    made = F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b"), F.col(hash_).alias("hash")) for a, b, hash_ in (("place", "last", "gram"), ("first", "place", "tail"))])
+    rows = rows.select("id", "version", "shared", "repeats", F.inline(made)).where("hash IS NOT NULL")
+    # (where no line comes twice there is nothing to sort)
+    own, order = (F.when(F.col("repeats"), F.col(c)) for c in ("hash", "b"))
+    place = F.row_number().over(Window.partitionBy("id", "version", own).orderBy(order))
+    return rows.withColumn("again", F.col("repeats") & (place > 1)).drop("repeats")
 
 
 def repeated_places(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_words: int = SURE_WORDS, tails: bool = False) -> DataFrame:
-    """id, version, places (from 1) of the grams that an earlier place has, for the documents that have any."""
-    printed = stored(fingerprinted(docs, gram_words, sure_words, tails), "fingerprints")
-    prints = printed.select("id", F.explode("prints").alias("hash"))
-    touched = prints.join(_first_ids(prints).select("hash"), "hash").select("id").distinct()
-    shared = stored(printed.select("id", "version", "grams").join(touched, "id", "left_semi"), "shared")
-    grams = shared.select("id", "version", F.posexplode("grams").alias("place", "hash"))
-    later = grams.join(_first_ids(grams), "hash").where("id > first").select("id", "version", (F.col("place") + 1).alias("place"))
-    later = later.union(printed.select("id", "version", F.explode("again").alias("place")))
-    return later.groupBy("id", "version").agg(F.collect_set("place").alias("places"))
+    """id, version, places (a and b: first and last line that is not blank, from 0) of the grams that an earlier place has, for the documents that have any."""
+    lines = stored(_lines(docs), "lines")
+    prints = stored(fingerprints(lines, gram_words, sure_words, tails), "fingerprints")
+    touched = prints.join(_first_ids(prints).select("hash"), "hash").select("id").distinct().withColumn("shared", F.lit(True))
+    wanted = lines.join(touched, "id", "left").withColumn("shared", F.coalesce("shared", F.lit(False))).where("shared OR repeats")
+    own = stored(grams(wanted, gram_words, tails), "grams")
+    shared = own.where("shared")
+    later = shared.join(_first_ids(shared), "hash").where("id > first").select("id", "version", "a", "b")
+    later = later.union(own.where("again").select("id", "version", "a", "b"))
+    return later.groupBy("id", "version").agg(F.collect_list(F.struct("a", "b")).alias("places"))
 
 
 def _first_ids(grams: DataFrame) -> DataFrame:
@@ -145,23 +157,21 @@ def without_repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_w
     places = repeated_places(docs.select("doc_id", "text"), gram_words, sure_words, tails)
     places = places.select(F.col("id").alias("_id"), F.col("version").alias("_version"), F.col("places").alias("_places"))
     joined = keyed.join(places, ["_id", "_version"], "left")
-    # grams only where some go
-    cut = joined.withColumn("_pieces", _pieces())
-    own = _with_runs(joined.where("_places IS NOT NULL"), gram_words, tails)
+    text, gone = F.col("text").cast("string"), F.col("_places").isNotNull()
+    # (an array that a lambda reads must be named twice, or the optimizer moves its making into the lambda)
+    cut = joined.withColumn("_pieces", F.when(gone, _pieces()))
+    filled = F.filter(F.transform("_pieces", lambda p, k: F.when(F.btrim(p, F.lit(BLANKS)) != "", k)), lambda k: k.isNotNull())
     # (blank pieces between the lines of a run go with it)
-    ranges = "if(i <= starts, sequence(_at[i - 1], _at[i + short[i - 1] - 2]), sequence(_at[tails[i - starts - 1].a - 1], _at[tails[i - starts - 1].b - 1]))"
-    own = own.withColumn("removed", F.expr(f"array_sort(array_distinct(flatten(transform(filter(_places, i -> i <= starts + size(tails)), i -> {ranges}))))"))
+    ranges = "sort_array(array_distinct(flatten(transform(_places, x -> sequence(_at[x.a], _at[x.b])))))"
+    cut = cut.withColumn("_at", filled).withColumn("removed", F.expr(f"if(_places IS NULL, cast(array() AS array<int>), {ranges})"))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(_pieces) - 1), removed), i -> _pieces[i]), '')")
     # (out of an array of one: a filter on these columns then stays above their making)
-    made = F.struct(kept.alias("text"), F.size("_pieces").cast("bigint").alias("n_lines"), "removed")
-    own = own.select(*names, F.explode(F.array(made)).alias("_made")).select(*names, "_made.*")
-    rest = cut.where("_places IS NULL").select(
-        *names,
-        F.col("text").cast("string").alias("text"),
-        F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, F.size("_pieces")).otherwise(0).cast("bigint").alias("n_lines"),
-        F.array().cast("array<int>").alias("removed"),
+    made = F.struct(
+        F.when(gone, kept).otherwise(text).alias("text"),
+        F.when(gone, F.size("_pieces")).when(F.length(text) > 0, _n_pieces()).otherwise(0).cast("bigint").alias("n_lines"),
+        "removed",
     )
-    return own.union(rest)
+    return cut.select(*names, F.explode(F.array(made)).alias("_made")).select(*names, "_made.*")
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -161,3 +161,26 @@ def test_tails_against_brute_force(spark):
     assert all(plain[i] <= got[i] <= may[i] | tails[i] for i in got)
     assert all(tails[i] <= got[i] for i in got if plain[i])
     assert sum(map(len, got.values())) > sum(map(len, plain.values()))
+
+
+def test_texts_are_dealt_once(spark, tmp_path):
+    """One scan of the texts goes to the join with the places, not one for texts with and one for texts without any."""
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame([(1, "a b. " * 30), (2, "a b. " * 30), (3, "c d.")], SCHEMA).write.parquet(path)
+    out = without_repeated_lines(spark.read.parquet(path), tails=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet \[[^\]]*text#", plan)) == 1
+
+
+def test_tails_with_odd_rows(spark):
+    """Short, blank, missing and repeated texts, ids that come with two texts, and a text that holds the mark; all with ``tails``."""
+    rng = random.Random(3)
+    lines = [" ".join(f"w{rng.randrange(500)}" for _ in range(7)) for _ in range(12)]
+    block = "\n".join(lines[:6])
+    rows = [(1, block + "\nown one"), (2, "head\n" + block.replace("\n", "\n\n") + "\ntail of two"), (2, "\n".join(lines[6:]) + "\n" + block), (3, block), (3, block), (4, None), (5, " \n\t"), (6, "\n".join(lines[:3])), (7, "\n".join(lines[:3]))]
+    rows += [(8, "x\x01y. " + block), (9, "\n".join(lines[6:] + ["between"] + lines[6:])), (None, block)]
+    got = {(r.doc_id, r.n_lines, tuple(r.removed)) for r in without_repeated_lines(spark.createDataFrame(rows, SCHEMA), tails=True).collect()}
+    assert got == {
+        (1, 7, ()), (2, 13, (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11)), (2, 12, (6, 7, 8, 9, 10, 11)), (3, 6, (0, 1, 2, 3, 4, 5)), (4, 0, ()), (5, 2, ()), (6, 3, (0, 1, 2)), (7, 3, (0, 1, 2)),
+        (8, 7, (1, 2, 3, 4, 5, 6)), (9, 13, (0, 1, 2, 3, 4, 5, 7, 8, 9, 10, 11, 12)), (None, 6, ()),
+    }
