@@ -31,7 +31,7 @@ BLANKS = " \t\n"
 
 def _with_version(docs: DataFrame) -> DataFrame:
     """The rows with a hash of the text, as an id may come with two texts."""
-    return docs.withColumn("_version", F.hash(F.col("text").cast("string")))
+    return docs.withColumn("_version", F.xxhash64(F.col("text").cast("string")))
 
 
 def _marked() -> Column:
@@ -67,10 +67,10 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _with_grams(lines: DataFrame, gram_words: int, tails: bool) -> DataFrame:
-    """A row for each line: id, version, place (from 0), before (the words before it), and
+    """A row for each line: id, version, place (from 0), before (the words before it), gram, last, tail, first; other columns of ``lines``.
 
-    gram (hash) of the shortest run of lines with ``gram_words`` words from it on, last (that run's last line); tail (hash) of the one up to it, if no gram from its first line on
-    ends there, first (its first line); other columns of ``lines``.
+    gram is the hash of the shortest run of lines with ``gram_words`` words from the line on, last that run's last line; tail the hash of the one up to the line, if no gram from
+    its first line on ends there, first that run's first line.
 
     A run with a number of words is a range of the words before a line. Windows are within one text, by which the arrays of its lines are dealt: lines are not shuffled once more.
     """
@@ -123,7 +123,8 @@ def grams(lines: DataFrame, gram_words: int, tails: bool = False) -> DataFrame:
 
 def repeated_places(docs: DataFrame, gram_words: int = GRAM_WORDS, sure_words: int = SURE_WORDS, tails: bool = False) -> DataFrame:
     """id, version, places (a and b: first and last line that is not blank, from 0) of the grams that an earlier place has, for the documents that have any."""
-    lines = stored(_lines(docs), "lines")
+    # (a shorter text has no gram)
+    lines = stored(_lines(docs), "lines").where(F.col("total") >= gram_words)
     prints = stored(fingerprints(lines, gram_words, sure_words, tails), "fingerprints")
     touched = prints.join(_first_ids(prints).select("hash"), "hash").select("id").distinct().withColumn("shared", F.lit(True))
     wanted = lines.join(touched, "id", "left").withColumn("shared", F.coalesce("shared", F.lit(False))).where("shared OR repeats")
